@@ -51,6 +51,7 @@ def test_folds_equal_the_sequential_model(spark, slices):
     df = commands_df(spark, commands).cache()
     got = P.apply_commands(state_df(spark, state), df, "partition", slices)
     assert state_of(got) == partition_rule(state, commands)
+    assert state_of(P.apply_batch(state_df(spark, state), df)) == partition_rule(state, commands)
     assert stash_of(P.stash_offsets(df, slices=slices)) == stash_rule({}, commands)
     stash = {k: (rng.randint(0, 12), "old") for k in keys[::3]}
     stash_df = spark.createDataFrame([(t, p, o, m) for (t, p), (o, m) in stash.items()], S.STASH)

@@ -22,11 +22,9 @@ def _ranked_owners(owners: DataFrame, group: list[str], owner: str) -> JoinSide:
     side = settle(owners.select(*group, owner).distinct())
     if side.is_small:
         inside = W.partitionBy(*group).orderBy(owner)
-        ranked = side.df.select(
-            *group, owner, (F.row_number().over(inside) - 1).cast("bigint").alias(_POS)
-        )
-        return settle(ranked)
-    return JoinSide(with_position(side.df, group, [owner], _POS), None)
+        position = (F.row_number().over(inside) - 1).cast("bigint")
+        return JoinSide(side.rows.select(*group, owner, position.alias(_POS)), side.table)
+    return JoinSide(with_position(side.rows, group, [owner], _POS), None)
 
 
 def _place(
@@ -39,7 +37,7 @@ def _place(
 ) -> DataFrame:
     group, item = list(group), list(item)
     ranked = _ranked_owners(owners, group, owner)
-    sizes = ranked.df.groupBy(*group).agg(F.count(F.lit(1)).alias(_OWNERS))
+    sizes = ranked.rows.groupBy(*group).agg(F.count(F.lit(1)).alias(_OWNERS))
     placed = with_position(items, group, item, _INDEX, size=_ITEMS, per_group=sizes)
     if round_robin:
         position = F.col(_INDEX) % F.col(_OWNERS)

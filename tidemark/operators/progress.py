@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import topic_partition_key
+from tidemark.operators.start import with_defaults
 from tidemark.operators.topics import only_subscribed
 from tidemark.plans.bounded import JoinSide, settle
 from tidemark.plans.ordering import SLICE, with_slices
@@ -43,17 +44,12 @@ RULES = {
 
 def initial_state(subs: DataFrame, committed: DataFrame | None = None) -> DataFrame:
     """Clean state of subscribed topic-partitions, from their committed offsets if given."""
-    if committed is None:
-        rows = subs.select(*TP).distinct()
-        offset, metadata = F.lit(NO_OFFSET), F.lit("")
-    else:
-        rows = subs.select(*TP).distinct().join(committed, TP, "left")
-        offset = F.coalesce("offset", F.lit(NO_OFFSET))
-        metadata = F.coalesce("metadata", F.lit(""))
-    return rows.select(
+    if committed is not None:
+        return with_defaults(committed, subs).withColumn("dirty", F.lit(False))
+    return subs.select(*TP).distinct().select(
         *TP,
-        offset.cast("bigint").alias("offset"),
-        metadata.alias("metadata"),
+        F.lit(NO_OFFSET).cast("bigint").alias("offset"),
+        F.lit("").alias("metadata"),
         F.lit(False).alias("dirty"),
     )
 
@@ -98,7 +94,7 @@ def _apply_extreme(state: DataFrame, commands: DataFrame, op: str) -> DataFrame:
     final, offset = F.col("final"), F.col("offset")
     moving = state.join(extreme.df, TP).where(final > offset if op == MARK else final <= offset)
     finals = _extreme_finals(moving, op)
-    finals = F.broadcast(finals) if extreme.is_small else settle(finals).df
+    finals = extreme.bounded(finals) if extreme.is_small else settle(finals).rows
     return _updated(state, _winners(chosen, finals, rule))
 
 
@@ -137,6 +133,40 @@ def apply_commands(
     return _updated(state, _winners(commands, finals, RULES[rule]))
 
 
+def apply_batch(state: DataFrame, commands: DataFrame, rule: str = "partition") -> DataFrame:
+    """:func:`apply_commands` for a micro-batch.
+
+    A batch within the size limit is folded command by command in one job; a larger one
+    takes the general way.
+    """
+    batch = settle(commands.select("seq", *TP, "op", "offset", "metadata"))
+    if not batch.is_small:
+        return apply_commands(state, batch.rows, rule)
+    kind = RULES[rule]
+    steps = batch.rows.groupBy(*TP).agg(
+        F.array_sort(F.collect_list(F.struct("seq", "op", "offset", "metadata"))).alias("steps")
+    )
+
+    def step(now: Column, command: Column) -> Column:
+        target = command["offset"] + F.lit(kind.shift)
+        forward = target >= now["offset"] if kind.last_mark_wins else target > now["offset"]
+        wins = ((command["op"] == MARK) & forward) | (
+            (command["op"] == RESET) & (target <= now["offset"])
+        )
+        moved = F.struct(
+            target.alias("offset"), command["metadata"].alias("metadata"), F.lit(True).alias("dirty")
+        )
+        return F.when(wins, moved).otherwise(now)
+
+    start = F.struct("offset", "metadata", "dirty")
+    after = F.when(F.col("steps").isNull(), start).otherwise(F.aggregate("steps", start, step))
+    return (
+        state.join(batch.bounded(steps), TP, "left")
+        .select(*TP, after.alias("s"))
+        .select(*TP, "s.offset", "s.metadata", "s.dirty")
+    )
+
+
 def _stored(rule: Rule) -> Column:
     return F.col("offset") + F.lit(rule.shift)
 
@@ -219,7 +249,7 @@ def _final_positions(
         .where("marks_count OR resets_count")
     )
     # At most one narrow row per row of the summary: the same bound holds.
-    return F.broadcast(finals) if summary.is_small else settle(finals).df
+    return summary.bounded(finals) if summary.is_small else settle(finals).rows
 
 
 def _turning_commands(
@@ -228,12 +258,12 @@ def _turning_commands(
     """The turning command of each topic-partition, with high and low of what follows it."""
     if summary.is_small and summary.table["turn_slice"].null_count == summary.table.num_rows:
         return None
-    where = summary.df.where(F.col("turn_slice").isNotNull()).select(
+    where = summary.rows.where(F.col("turn_slice").isNotNull()).select(
         *TP, F.col("turn_slice").alias(SLICE), "later_high", "later_low"
     )
     back = W.partitionBy(*TP).orderBy(F.desc("seq")).rowsBetween(W.unboundedPreceding, -1)
     inside = (
-        steps.join(F.broadcast(where) if summary.is_small else where, [*TP, SLICE])
+        steps.join(summary.bounded(where), [*TP, SLICE])
         .withColumn("high", F.greatest(F.max(mark).over(back), "later_high"))
         .withColumn("low", F.least(F.min(reset).over(back), "later_low"))
     )

@@ -8,6 +8,7 @@ map per event is built from those rows on request.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import (
@@ -79,8 +80,15 @@ def rebalance_attempts(
     else:
         failed = failures.groupBy(*keys).agg(F.min("stage").alias("stage"))
         attempts = seen.distinct().join(failed, keys, "full")
-    counted = attempts.where(F.coalesce(F.col("stage") != "refresh", F.lit(True)))
-    before = with_previous(counted, ["member_id"], ["generation"], ["generation", "stage"])
+    counted = settle(attempts.where(F.coalesce(F.col("stage") != "refresh", F.lit(True))))
+    if counted.is_small:
+        order = W.partitionBy("member_id").orderBy("generation")
+        previous = F.lag(F.struct("generation", "stage")).over(order)
+        before = counted.rows.withColumn("previous", previous)
+    else:
+        before = with_previous(
+            counted.rows, ["member_id"], ["generation"], ["generation", "stage"]
+        )
     base = F.when(
         F.col("previous").isNotNull() & F.col("previous.stage").isNull(), F.col("previous.generation")
     )
@@ -114,12 +122,8 @@ def rebalance_rows(
     ``change`` is claimed, released or current. A start notification has no rows, because
     ownership has been given up by then; an error carries its base assignment as current.
     """
-    attempts = settle(rebalance_attempts(assignments, failures, members)).df
-    return _event_rows(assignments, attempts)
-
-
-def _event_rows(assignments: DataFrame, attempts: DataFrame) -> DataFrame:
-    owned = assignments.select("generation", *_OWNED).distinct()
+    owned = settle(assignments.select("generation", *_OWNED).distinct()).rows
+    attempts = settle(rebalance_attempts(owned, failures, members)).df
     succeeded = attempts.where(F.col("stage").isNull())
     failed = attempts.where(F.col("stage").isin("rebalance", "subscribe"))
     base = owned.withColumnRenamed("generation", "base_generation")
@@ -156,9 +160,10 @@ def rebalance_events(
     In an OK every current topic is a key of ``claimed`` and every topic of the base a key
     of ``released``, also where nothing changed.
     """
-    attempts = settle(rebalance_attempts(assignments, failures, members)).df
     parts = F.sort_array(F.collect_set("partition"))
-    owned = assignments.groupBy("generation", "member_id", "topic").agg(parts.alias("parts"))
+    by_member = assignments.groupBy("generation", "member_id", "topic").agg(parts.alias("parts"))
+    owned = settle(by_member).rows
+    attempts = settle(rebalance_attempts(owned, failures, members)).df
     base = owned.withColumnRenamed("generation", "base_generation")
     keys = ["generation", "member_id", "topic"]
     now = (

@@ -52,11 +52,15 @@ def fetch_committed(
     if retained_after is not None:
         ends = F.timestamp_millis(F.unix_millis("committed_at") + F.col("retention_ms"))
         commits = commits.where((F.col("retention_ms") < 0) | (ends >= F.lit(retained_after)))
-    latest = latest_commits(commits, group_id).drop("group_id")
+    return with_defaults(latest_commits(commits, group_id).drop("group_id"), subs)
+
+
+def with_defaults(committed: DataFrame, subs: DataFrame) -> DataFrame:
+    """Every subscribed topic-partition with its commit, or offset -1 and empty metadata."""
     return (
         subs.select(*TP)
         .distinct()
-        .join(latest, TP, "left")
+        .join(committed, TP, "left")
         .select(
             *TP,
             F.coalesce("offset", F.lit(NO_OFFSET).cast("bigint")).alias("offset"),
@@ -128,4 +132,5 @@ def resume_scan(
 ) -> DataFrame:
     """Messages a group still has to process: resolve the starts, then read from them."""
     ranges = log_bounds(topic_log) if bounds is None else bounds
-    return read_from(topic_log, resolve_start(committed, ranges, default))
+    starts = resolve_start(with_defaults(committed, ranges), ranges, default)
+    return read_from(topic_log, starts)

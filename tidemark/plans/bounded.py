@@ -23,22 +23,30 @@ MAX_BYTES = 32 * 1024 * 1024
 
 @dataclass(frozen=True)
 class JoinSide:
-    """A join side; ``table`` holds its rows when they are within the limit."""
+    """An evaluated table; ``table`` holds its rows when they are within the limit."""
 
-    df: DataFrame
+    rows: DataFrame
     table: pa.Table | None
 
     @property
     def is_small(self) -> bool:
         return self.table is not None
 
+    @property
+    def df(self) -> DataFrame:
+        """The rows as a join side: broadcast while small."""
+        return self.bounded(self.rows)
+
+    def bounded(self, derived: DataFrame) -> DataFrame:
+        """Mark a table derived from these rows, with at most as many of them, likewise."""
+        return F.broadcast(derived) if self.is_small else derived
+
 
 def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> JoinSide:
-    """Evaluate ``df`` once and return it ready to be joined."""
+    """Evaluate ``df`` once, so that it can be joined or read several times."""
     spark = df.sparkSession
     table = df.limit(max_rows + 1).toArrow()
     if table.num_rows <= max_rows and table.nbytes <= max_bytes:
-        local = spark.createDataFrame(table, schema=df.schema)
-        return JoinSide(F.broadcast(local), table)
+        return JoinSide(spark.createDataFrame(table, schema=df.schema), table)
     ensure_checkpoint_dir(spark)
     return JoinSide(df.checkpoint(), None)

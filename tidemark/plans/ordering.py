@@ -24,10 +24,14 @@ _SLICES_PER_TASK = 4
 _SAMPLES_PER_SLICE = 24
 
 
+def shuffle_width(df: DataFrame) -> int:
+    """The session's number of shuffle partitions: the knob sized to the data."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def slice_count(df: DataFrame) -> int:
-    """Number of slices, from the session's shuffle width (the knob sized to the data)."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(_SLICES_PER_TASK * width, MIN_SLICES), MAX_SLICES)
+    """Number of slices: some per shuffle partition."""
+    return min(max(_SLICES_PER_TASK * shuffle_width(df), MIN_SLICES), MAX_SLICES)
 
 
 def split_points(df: DataFrame, order: Sequence[str], slices: int) -> list:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.commit import commit_results, commit_rows, write_commits
-from tidemark.operators.progress import MARK, apply_commands, mark_committed
+from tidemark.operators.progress import MARK, apply_batch, mark_committed
 from tidemark.options import GroupOptions
 from tidemark.schemas import TP
 from tidemark.streaming.versions import (
@@ -61,7 +61,7 @@ def track_offsets(
         batch.persist()
         try:
             before = previous_version(initial, path, batch_id)
-            write_version(apply_commands(before, batch, rule), path, batch_id)
+            write_version(apply_batch(before, batch, rule), path, batch_id)
         finally:
             batch.unpersist()
 
@@ -124,7 +124,7 @@ def auto_commit(
             if commands is None:
                 commands = marks_of(batch)
             before = previous_version(initial, state_path, batch_id)
-            folded = apply_commands(before, commands)
+            folded = apply_batch(before, commands)
             if (batch_id + 1) % commit_every:
                 write_version(folded, state_path, batch_id)
                 return

@@ -60,7 +60,7 @@ def resume_scan(spark, sf_dir):
 def offset_range_read(spark, sf_dir):
     log = W.stored_log(spark, sf_dir)
     ranges = W.small(W.bounds(log))
-    starts = ST.resolve_start(W.committed(ranges), ranges, "newest")
+    starts = ST.resolve_start(ST.with_defaults(W.committed(ranges), ranges), ranges, "newest")
     return out(ST.read_from(log, starts).select(*TP, "offset", "payload", "amount"))
 
 
@@ -116,7 +116,7 @@ def _summary(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator
 def partition_streams(spark, sf_dir):
     log = W.stored_log(spark, sf_dir).select(*TP, "offset")
     ranges = W.small(W.bounds(log))
-    starts = ST.resolve_start(W.committed(ranges), ranges, "oldest")
+    starts = ST.resolve_start(ST.with_defaults(W.committed(ranges), ranges), ranges, "oldest")
     schema = "topic string, partition int, initial_offset bigint, messages bigint, breaks bigint"
     read = ST.read_from(log, starts)
     return out(D.for_each_partition(read, _summary, schema, starts=starts))
