@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,27 +25,25 @@ def _ranked_owners(owners: DataFrame, group: list[str], owner: str) -> JoinSide:
     return JoinSide(with_position(side.rows, group, [owner], _POS), None)
 
 
-def _place(
-    items: DataFrame,
-    owners: DataFrame,
-    group: Sequence[str],
-    item: Sequence[str],
-    owner: str,
-    round_robin: bool,
-) -> DataFrame:
-    group, item = list(group), list(item)
-    ranked = _ranked_owners(owners, group, owner)
-    sizes = ranked.rows.groupBy(*group).agg(F.count(F.lit(1)).alias(_OWNERS))
-    placed = with_position(items, group, item, _INDEX, size=_ITEMS, per_group=sizes)
+def _place(placed: DataFrame, ranked: JoinSide, group, round_robin: bool) -> DataFrame:
+    """Attach the owner to items that carry their index, group size and owner count."""
     if round_robin:
         position = F.col(_INDEX) % F.col(_OWNERS)
     else:
         position = range_owner(_INDEX, _ITEMS, _OWNERS)
-    return (
-        placed.withColumn(_POS, position)
-        .join(ranked.df, [*group, _POS])
-        .select(*items.columns, owner)
-    )
+    return placed.withColumn(_POS, position).join(ranked.df, [*group, _POS])
+
+
+def _sizes(ranked: JoinSide, group: list[str]) -> DataFrame:
+    return ranked.rows.groupBy(*group).agg(F.count(F.lit(1)).alias(_OWNERS))
+
+
+def _assign(items, owners, group, item, owner, round_robin: bool) -> DataFrame:
+    group, item = _as_list(group), _as_list(item)
+    ranked = _ranked_owners(owners, group, owner)
+    sizes = _sizes(ranked, group)
+    placed = with_position(items, group, item, _INDEX, size=_ITEMS, per_group=sizes)
+    return _place(placed, ranked, group, round_robin).select(*items.columns, owner)
 
 
 def assign_range(items, owners, group, item, owner) -> DataFrame:
@@ -57,12 +53,12 @@ def assign_range(items, owners, group, item, owner) -> DataFrame:
     are attached by an equi-join on (group, position) rather than by a range condition.
     Owners without a share do not appear.
     """
-    return _place(items, owners, group, _as_list(item), owner, round_robin=False)
+    return _assign(items, owners, group, item, owner, round_robin=False)
 
 
 def assign_round_robin(items, owners, group, item, owner) -> DataFrame:
     """Deal the items of each group out to its owners in turn."""
-    return _place(items, owners, group, _as_list(item), owner, round_robin=True)
+    return _assign(items, owners, group, item, owner, round_robin=True)
 
 
 def _as_list(names) -> list[str]:
@@ -83,11 +79,13 @@ def assign(
     """
     if on_unknown == "raise":
         require_topics(members, catalog)
+    # A partition has the same index in every generation: rank once, then expand.
     group = [c for c in ("generation", "topic") if c in members.columns]
-    wanted = settle(members.select(*group).distinct())
-    items = catalog.select("topic", "partition").distinct().join(wanted.df, "topic")
-    place = assign_round_robin if strategy == ROUND_ROBIN else assign_range
-    out = place(items, members, group, "partition", "member_id")
+    ranked = _ranked_owners(members, group, "member_id")
+    partitions = catalog.select("topic", "partition").distinct()
+    indexed = with_position(partitions, ["topic"], ["partition"], _INDEX, size=_ITEMS)
+    placed = indexed.join(ranked.bounded(_sizes(ranked, group)), "topic")
+    out = _place(placed, ranked, group, strategy == ROUND_ROBIN)
     return out.select(*group[:-1], "member_id", "topic", "partition")
 
 

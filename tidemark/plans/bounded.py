@@ -2,9 +2,9 @@
 
 Join sides such as start positions or fold summaries hold one row per
 topic-partition. That is usually small, but nothing proves it, so the side is
-fetched up to a row and byte limit first. Within the limit it becomes a local
-relation that is safe to broadcast; beyond it, it is checkpointed (so it is
-computed once) and Spark joins it by shuffle, with adaptive skew handling.
+measured first. Within a row and byte limit it becomes a local relation that is safe
+to broadcast; beyond it, it is written to the checkpoint folder (so it is computed
+once) and Spark joins it by shuffle, with adaptive skew handling.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.plans.scratch import ensure_checkpoint_dir
+from tidemark.plans.scratch import scratch_path
 
 MAX_ROWS = 200_000
 MAX_BYTES = 32 * 1024 * 1024
@@ -43,10 +44,31 @@ class JoinSide:
 
 
 def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> JoinSide:
-    """Evaluate ``df`` once, so that it can be joined or read several times."""
+    """Evaluate ``df`` once, so that it can be joined or read several times.
+
+    Its rows are counted and measured on the executors; only a table within both limits
+    is fetched. A larger one is written to the checkpoint folder.
+    """
     spark = df.sparkSession
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows <= max_rows and table.nbytes <= max_bytes:
-        return JoinSide(spark.createDataFrame(table, schema=df.schema), table)
-    ensure_checkpoint_dir(spark)
-    return JoinSide(df.checkpoint(), None)
+    held = df.persist()
+    try:
+        rows, size = held.agg(F.count(F.lit(1)), F.sum(_row_bytes(df))).first()
+        if rows <= max_rows and (size or 0) <= max_bytes:
+            table = held.toArrow()
+            return JoinSide(spark.createDataFrame(table, schema=df.schema), table)
+        path = scratch_path(spark, "side")
+        held.write.parquet(path)
+        return JoinSide(spark.read.schema(df.schema).parquet(path), None)
+    finally:
+        held.unpersist()
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes."""
+    total = F.lit(8 * len(df.columns))
+    for field in df.schema:
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(field.name), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(field.name))), F.lit(0))
+    return total.cast("bigint")

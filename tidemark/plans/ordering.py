@@ -18,6 +18,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.plans.bounded import settle
+
 SLICE = "__slice"
 MIN_SLICES, MAX_SLICES = 64, 8192
 _SLICES_PER_TASK = 4
@@ -98,7 +100,8 @@ def running(
 
     ``position`` names the position column, ``size`` the column with the row count of
     the group. ``per_group`` is a table keyed by ``group`` whose columns are attached
-    to the rows (inner join); it is joined to the slice totals, never to the rows.
+    to the rows (inner join); it is joined to the slice totals, which are few, and only
+    those are joined to the rows.
     Group columns must not be null, and ``order`` must be unique inside a group.
     """
     group = list(group)
@@ -141,7 +144,7 @@ def running(
         )
         out.append(whole.alias(name))
     out.extend(F.col(c) for c in extra)
-    return ranked.join(bases, cells).select(*out)
+    return ranked.join(settle(bases).df, cells).select(*out)
 
 
 def with_position(
@@ -175,6 +178,6 @@ def with_previous(
         *cells, F.lag("__last").over(W.partitionBy(*group).orderBy(SLICE)).alias("__before")
     )
     local = keyed.withColumn("__local", F.lag(entry).over(W.partitionBy(*cells).orderBy(*order)))
-    return local.join(bases, cells).select(
+    return local.join(settle(bases).df, cells).select(
         *df.columns, F.coalesce("__local", "__before").alias(name)
     )
