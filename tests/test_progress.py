@@ -71,3 +71,102 @@ def test_single_op_folds_equal_the_sequential_model(spark):
     assert state_of(P.reset_offsets(state_df(spark, state), df)) == partition_rule(state, rewinds)
     assert stash_of(P.stash_marks(df)) == stash_rule({}, marks)
     df.unpersist()
+
+
+def folded(spark, state, *commands):
+    return state_of(P.apply_commands(state_df(spark, state), commands_df(spark, commands)))
+
+
+def acknowledged(spark, state, offset, error=None):
+    results = spark.createDataFrame([("topic", 0, offset, error)], S.COMMIT_RESULTS)
+    return state_of(P.mark_committed(state_df(spark, state), results))
+
+
+def test_marks_resets_and_acknowledgements_step_by_step(spark):
+    key = ("topic", 0)
+    state = {key: (2000, "m3ta", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2001, "met@"))
+    assert state == {key: (2002, "met@", True)}
+    assert acknowledged(spark, state, 2001) == state
+    assert acknowledged(spark, state, 2002, "refused") == state
+    state = acknowledged(spark, state, 2002)
+    assert state == {key: (2002, "met@", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2001, "me7a"))
+    assert state == {key: (2002, "met@", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2002, "me7a"))
+    assert state == {key: (2003, "me7a", True)}
+    state = folded(spark, state, ("topic", 0, "reset", 2001, "met@"))
+    assert state == {key: (2002, "met@", True)}
+    state = acknowledged(spark, state, 2002)
+    assert state == {key: (2002, "met@", False)}
+    assert folded(spark, state, ("topic", 0, "reset", 2001, "tie")) == {key: (2002, "tie", True)}
+    assert folded(spark, state, ("other", 0, "mark", 1, "x")) == state
+
+
+def test_stash_step_by_step(spark):
+    def stash(*commands):
+        return stash_of(P.stash_offsets(commands_df(spark, commands)))
+
+    first = ("topic", 0, "mark", 0, "m3ta")
+    later = ("topic", 0, "mark", 200, "m3ta")
+    assert stash(first) == {("topic", 0): (0, "m3ta")}
+    assert stash(first, later, ("topic", 0, "mark", 199, "m3t@")) == {("topic", 0): (200, "m3ta")}
+    assert stash(first, later, ("topic", 0, "reset", 199, "m3t@")) == {("topic", 0): (199, "m3t@")}
+    both = stash(later, ("topic", 1, "mark", 300, ""), ("topic", 1, "reset", 200, "m3t@"))
+    assert both == {("topic", 0): (200, "m3ta"), ("topic", 1): (200, "m3t@")}
+    assert stash(("topic", 0, "reset", 5, "x"), ("topic", 1, "mark", -1, "y")) == {}
+    rows = P.stash_map(spark.createDataFrame([("a", 3, 7, "")], S.STASH)).collect()
+    assert [(r.key, r.offset) for r in rows] == [("a-3", 7)]
+
+
+def test_stash_is_applied_once_per_entry(spark):
+    state = {("t", 0): (5, "old", False), ("t", 1): (9, "old", False), ("t", 2): (1, "old", False)}
+    stash = spark.createDataFrame([("t", 0, 5, "s"), ("t", 1, 8, "s"), ("u", 0, 99, "s")], S.STASH)
+    marked = P.apply_stash(state_df(spark, state), stash, P.MARK)
+    assert state_of(marked) == {**state, ("t", 0): (6, "s", True)}
+    reset = P.apply_stash(state_df(spark, state), stash, P.RESET)
+    assert state_of(reset) == {**state, ("t", 1): (9, "s", True)}
+    with pytest.raises(ValueError):
+        P.apply_stash(state_df(spark, state), stash, "erase")
+
+
+def test_snapshot_of_subscribed_partitions(spark):
+    state = {("t", 0): (2000, "m3ta", False), ("t", 1): (2000, "m3ta", False)}
+    after = P.mark_offsets(state_df(spark, state), commands_df(spark, [("t", 1, "mark", 2000, "met@")]))
+    want = {("t", 0): (2000, "m3ta", False), ("t", 1): (2001, "met@", True)}
+    assert state_of(P.snapshot(after)) == want
+    subs = spark.createDataFrame([("t", 1)], S.CATALOG)
+    assert state_of(P.snapshot(after, subs)) == {("t", 1): (2001, "met@", True)}
+
+
+def test_fold_with_a_large_summary_takes_the_shuffled_way(spark, monkeypatch):
+    from tidemark.plans import bounded
+
+    monkeypatch.setattr(P, "settle", lambda df: bounded.settle(df, max_rows=5))
+    rng = random.Random(11)
+    keys = many_keys(120)
+    commands = mixed_profiles(rng, keys)
+    state = {k: (rng.randint(-1, 12), "base", False) for k in keys[10:]}
+    got = P.apply_commands(state_df(spark, state), commands_df(spark, commands), slices=8)
+    assert state_of(got) == partition_rule(state, commands)
+    got = P.apply_batch(state_df(spark, state), commands_df(spark, commands))
+    assert state_of(got) == partition_rule(state, commands)
+
+
+def test_fold_never_shuffles_all_commands(spark, tmp_path):
+    """Every exchange of the fold follows an aggregation or a filter by a small side."""
+    path = str(tmp_path / "commands")
+    spark.range(5000).selectExpr(
+        "id AS seq", "'t' AS topic", "cast(id % 3 AS int) AS partition",
+        "if(id % 4 = 0, 'reset', 'mark') AS op", "id % 50 AS offset", "concat('m', id) AS metadata",
+    ).write.parquet(path)
+    commands = spark.read.parquet(path)
+    state = spark.createDataFrame([("t", p, -1, "", False) for p in range(3)], S.OFFSET_STATE)
+    plan = P.apply_commands(state, commands)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line:
+            below = [x for x in lines[i + 1 :] if x.strip()][:12]
+            depth = next((j for j, x in enumerate(below) if "FileScan" in x), None)
+            if depth is not None:
+                assert any("partial_" in x or "BroadcastHashJoin" in x for x in below[:depth]), plan

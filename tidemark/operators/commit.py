@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.progress import dirty
+from tidemark.plans.bounded import settle
 from tidemark.schemas import COMMITS, TP
 
 
@@ -78,7 +79,7 @@ def commit_results(rows: DataFrame, rejected: DataFrame | None = None) -> DataFr
 def stale_commits(rows: DataFrame, commits: DataFrame) -> DataFrame:
     """Commit records of an older generation than their group has already committed."""
     latest = commits.groupBy("group_id").agg(F.max("generation").alias("latest"))
-    return rows.join(latest, "group_id").where(F.col("generation") < F.col("latest")).drop("latest")
+    return rows.join(settle(latest).df, "group_id").where(F.col("generation") < F.col("latest")).drop("latest")
 
 
 def error_rows(rejected: DataFrame, ctx: str, message) -> DataFrame:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -21,12 +22,14 @@ from tidemark.functions.scalars import topic_partition_key
 from tidemark.operators.start import with_defaults
 from tidemark.operators.topics import only_subscribed
 from tidemark.plans.bounded import JoinSide, settle
-from tidemark.plans.ordering import SLICE, with_slices
+from tidemark.plans.ordering import SLICE, Slices
 from tidemark.schemas import NO_OFFSET, TP
 
 # The two commands.
 MARK, RESET = "mark", "reset"
 
+_TURN = "struct<seq:bigint,op:string,high:bigint,low:bigint>"
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -129,8 +132,8 @@ def apply_commands(
     Every step reads the commands with map-side aggregation or a filter by a small side;
     none shuffles them by topic-partition.
     """
-    finals = _final_positions(state, commands, RULES[rule], slices)
-    return _updated(state, _winners(commands, finals, RULES[rule]))
+    finals, recent = _final_positions(state, commands, RULES[rule], slices)
+    return _updated(state, _winners(commands.where(recent), finals, RULES[rule]))
 
 
 def apply_batch(state: DataFrame, commands: DataFrame, rule: str = "partition") -> DataFrame:
@@ -173,15 +176,14 @@ def _stored(rule: Rule) -> Column:
 
 def _final_positions(
     state: DataFrame, commands: DataFrame, rule: Rule, slices: int | None
-) -> DataFrame:
-    """Final position of each topic-partition, and which commands can have set it."""
-    steps = with_slices(
-        commands.where(F.col("op").isin(MARK, RESET)).select(
-            *TP, "seq", "op", _stored(rule).alias("v")
-        ),
-        ["seq"],
-        slices,
+) -> tuple[DataFrame, Column]:
+    """Final position of each topic-partition with what can have set it, and a predicate
+    that all commands after the turning ones meet."""
+    plain = commands.where(F.col("op").isin(MARK, RESET)).select(
+        *TP, "seq", "op", _stored(rule).alias("v")
     )
+    cut = Slices.of(plain, ["seq"], slices)
+    steps = cut.add(plain)
     mark = F.when(F.col("op") == MARK, F.col("v"))
     reset = F.when(F.col("op") == RESET, F.col("v"))
 
@@ -206,11 +208,15 @@ def _final_positions(
         )
     )
     keys = summary.df
-    turning = _turning_commands(steps, summary, mark, reset)
-    if turning is not None:
-        keys = keys.join(turning, TP, "left")
+    first = last = None
+    if summary.is_small:
+        turned = pc.min_max(summary.table["turn_slice"]).as_py()
+        first, last = turned["min"], turned["max"]
+    if summary.is_small and first is None:
+        keys = keys.withColumn("k", F.lit(None).cast(_TURN))
     else:
-        keys = keys.withColumn("k", F.lit(None).cast("struct<seq:bigint,op:string,high:bigint,low:bigint>"))
+        inside = steps if first is None else cut.add(plain.where(cut.within(first, last)))
+        keys = keys.join(_turning_commands(inside, summary, mark, reset), TP, "left")
 
     has_turn = F.col("k").isNotNull()
     high = F.when(has_turn, F.col("k.high")).otherwise(F.col("high"))
@@ -249,15 +255,15 @@ def _final_positions(
         .where("marks_count OR resets_count")
     )
     # At most one narrow row per row of the summary: the same bound holds.
-    return summary.bounded(finals) if summary.is_small else settle(finals).rows
+    finals = summary.bounded(finals) if summary.is_small else settle(finals).rows
+    every_key_turns = first is not None and not summary.table["turn_slice"].null_count
+    return finals, cut.within(first) if every_key_turns else F.lit(True)
 
 
 def _turning_commands(
     steps: DataFrame, summary: JoinSide, mark: Column, reset: Column
-) -> DataFrame | None:
+) -> DataFrame:
     """The turning command of each topic-partition, with high and low of what follows it."""
-    if summary.is_small and summary.table["turn_slice"].null_count == summary.table.num_rows:
-        return None
     where = summary.rows.where(F.col("turn_slice").isNotNull()).select(
         *TP, F.col("turn_slice").alias(SLICE), "later_high", "later_low"
     )
@@ -307,10 +313,14 @@ def stash_offsets(
     commands: DataFrame, stash: DataFrame | None = None, slices: int | None = None
 ) -> DataFrame:
     """Fold commands by the stash rule, from an empty stash or on top of ``stash``."""
-    keys = commands.select(*TP).distinct()
+    keys = settle(commands.select(*TP).distinct()).rows
     if stash is None:
-        before = keys.select(*TP, F.lit(0).cast("bigint").alias("offset"), F.lit("").alias("metadata"))
-        before = before.withColumn("dirty", F.lit(False))
+        before = keys.select(
+            *TP,
+            F.lit(0).cast("bigint").alias("offset"),
+            F.lit("").alias("metadata"),
+            F.lit(False).alias("dirty"),
+        )
     else:
         present = stash.select(*TP, "offset", "metadata").withColumn("dirty", F.lit(True))
         before = keys.join(present, TP, "full").select(

@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -37,53 +39,83 @@ def slice_count(df: DataFrame) -> int:
 
 
 def split_points(df: DataFrame, order: Sequence[str], slices: int) -> list:
-    """At most ``slices - 1`` ascending order values that cut ``df`` evenly.
+    """At most ``slices - 1`` ascending order values that cut ``df`` about evenly.
 
-    A few values per slice reach the driver, whatever the size of ``df``. They only
-    steer the balance of the slices; results do not depend on them.
+    Order values whose hash falls in a fixed share of the hash range are sampled: some per
+    slice, whatever the size of ``df``. They only steer the balance of the slices; results
+    do not depend on them.
     """
     if slices <= 1:
         return []
-    dtypes = [df.schema[c].dataType for c in order]
-    if len(order) == 1 and isinstance(
-        dtypes[0], (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-    ):
-        shares = [i / slices for i in range(1, slices)]
-        points = df.agg(
-            F.percentile_approx(order[0], shares, max(10_000, 4 * slices)).alias("p")
-        ).first()["p"]
-        return sorted(set(points or []))
-    # Any other order: take the rows whose hash falls in a fixed share of the hash range.
-    total = df.count()
-    every = max(1, total // (slices * _SAMPLES_PER_SLICE))
-    sampled = df.select(*order).where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
-    rows = sampled.dropna().distinct().sort(*order).collect()
+    values = df.select(*order)
+    every = max(1, values.count() // (slices * _SAMPLES_PER_SLICE))
+    if every > 1:
+        values = values.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
+    rows = sorted(tuple(r) for r in values.dropna().distinct().collect())
     step = max(1, len(rows) // slices)
     picked = rows[step::step][: slices - 1]
-    return [r[0] for r in picked] if len(order) == 1 else [r.asDict() for r in picked]
+    return [r[0] for r in picked] if len(order) == 1 else [dict(zip(order, r)) for r in picked]
+
+
+@dataclass(frozen=True)
+class Slices:
+    """A cut of tables along ``order`` at fixed ``points``."""
+
+    order: Sequence[str]
+    points: list
+
+    @staticmethod
+    def of(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Slices:
+        return Slices(list(order), split_points(df, order, slices or slice_count(df)))
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Add the column ``SLICE``: the number of points at or below the order value.
+
+        A binary search over a constant array, written out as one expression per halving,
+        so that it stays in generated code. Null order values fall into slice 0.
+        """
+        if not self.points:
+            return df.withColumn(SLICE, F.lit(0))
+        if len(self.order) == 1:
+            value, element = F.col(self.order[0]), df.schema[self.order[0]].dataType
+        else:
+            value, element = F.struct(*self.order), df.select(*self.order).schema
+        table = F.from_json(F.lit(json.dumps(self.points, default=str)), T.ArrayType(element))
+        found, steps = F.lit(0), []
+        for bit in reversed(range(len(self.points).bit_length())):
+            probe = found + F.lit(1 << bit)
+            below = F.get(table, probe - 1) <= value
+            steps.append(F.when(below, probe).otherwise(found).alias(f"{SLICE}{bit}"))
+            found = F.col(f"{SLICE}{bit}")
+        return df.select("*", *steps).select(*df.columns, found.alias(SLICE))
+
+    def within(self, first: int, last: int | None = None) -> Column:
+        """Predicate on the (single) order column that holds for all rows of the slices
+        ``first`` to ``last``; it reaches the scan, unlike one on the computed slice."""
+        column, inside = F.col(self.order[0]), F.lit(True)
+        if first > 0:
+            inside = column >= F.lit(self.points[first - 1])
+        if last is not None and last < len(self.points):
+            inside = inside & (column < F.lit(self.points[last]))
+        return inside
 
 
 def with_slices(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """Add the column ``SLICE``: the number of split points at or below the order value.
+    """Add the column ``SLICE`` to ``df``."""
+    return Slices.of(df, order, slices).add(df)
 
-    A binary search over a constant array, written out as one expression per halving, so
-    that it stays in generated code. Null order values fall into slice 0.
-    """
-    points = split_points(df, order, slices or slice_count(df))
-    if not points:
-        return df.withColumn(SLICE, F.lit(0))
-    if len(order) == 1:
-        value, element = F.col(order[0]), df.schema[order[0]].dataType
+
+def _side(bases: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Slice totals as a join side. Null groups would not join, so they are an error."""
+    side = settle(bases)
+    if side.is_small:
+        missing = any(side.table[c].null_count for c in group)
     else:
-        value, element = F.struct(*order), df.select(*order).schema
-    table = F.from_json(F.lit(json.dumps(points, default=str)), T.ArrayType(element))
-    found, steps = F.lit(0), []
-    for bit in reversed(range(len(points).bit_length())):
-        probe = found + F.lit(1 << bit)
-        below = F.get(table, probe - 1) <= value
-        steps.append(F.when(below, probe).otherwise(found).alias(f"{SLICE}{bit}"))
-        found = F.col(f"{SLICE}{bit}")
-    return df.select("*", *steps).select(*df.columns, found.alias(SLICE))
+        nulls = [F.col(c).isNull() for c in group]
+        missing = bool(side.rows.where(reduce(Column.__or__, nulls)).take(1))
+    if missing:
+        raise ValueError(f"null in group columns {list(group)}")
+    return side.df
 
 
 def running(
@@ -144,7 +176,7 @@ def running(
         )
         out.append(whole.alias(name))
     out.extend(F.col(c) for c in extra)
-    return ranked.join(settle(bases).df, cells).select(*out)
+    return ranked.join(_side(bases, group), cells).select(*out)
 
 
 def with_position(
@@ -178,6 +210,6 @@ def with_previous(
         *cells, F.lag("__last").over(W.partitionBy(*group).orderBy(SLICE)).alias("__before")
     )
     local = keyed.withColumn("__local", F.lag(entry).over(W.partitionBy(*cells).orderBy(*order)))
-    return local.join(settle(bases).df, cells).select(
+    return local.join(_side(bases, group), cells).select(
         *df.columns, F.coalesce("__local", "__before").alias(name)
     )

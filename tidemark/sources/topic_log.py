@@ -72,7 +72,8 @@ def read_topics(
             reader = reader.option("maxFilesPerTrigger", max_files)
     else:
         reader = spark.read.schema(schema)
-    log = reader.parquet(source).where(F.col("topic").isin(topic_list(topics)))
+    log = reader.parquet(source).select(*schema.names)
+    log = log.where(F.col("topic").isin(topic_list(topics)))
     return log if starts is None else read_from(log, starts)
 
 

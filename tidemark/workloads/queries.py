@@ -17,6 +17,7 @@ from tidemark.operators import rebalance as R
 from tidemark.operators import start as ST
 from tidemark.operators import topics as TO
 from tidemark.options import GroupOptions
+from tidemark.plans.bounded import settle
 from tidemark.plans.ordering import split_points, with_position
 from tidemark.plans.scratch import scratch_path
 from tidemark.schemas import TP
@@ -98,28 +99,28 @@ def partitioned_read(spark, sf_dir):
     return out(D.for_each_partition(log, _running, schema, carry=carry, split=True))
 
 
-def _summary(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    count = breaks = 0
-    expected = None
+def _extent(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    first, last, count = None, None, 0
     for batch in batches:
-        offsets = batch["offset"].to_numpy()
-        breaks += int((offsets[1:] != offsets[:-1] + 1).sum())
-        breaks += int(expected is not None and offsets[0] != expected)
-        count, expected = count + len(offsets), int(offsets[-1]) + 1
-    yield pd.DataFrame(
-        [[info.topic, info.partition, info.initial_offset, count, breaks]],
-        columns=["topic", "partition", "initial_offset", "messages", "breaks"],
-    )
+        first = int(batch["offset"].iloc[0]) if first is None else first
+        last, count = int(batch["offset"].iloc[-1]), count + len(batch)
+    yield pd.DataFrame([[info.topic, info.partition, info.initial_offset, first, last, count]])
 
 
 @query
 def partition_streams(spark, sf_dir):
+    """Handlers that see their start position; gaps are found from the segments' ends."""
     log = W.stored_log(spark, sf_dir).select(*TP, "offset")
     ranges = W.small(W.bounds(log))
     starts = ST.resolve_start(ST.with_defaults(W.committed(ranges), ranges), ranges, "oldest")
-    schema = "topic string, partition int, initial_offset bigint, messages bigint, breaks bigint"
+    schema = "topic string, partition int, initial_offset bigint, first bigint, last bigint, n bigint"
     read = ST.read_from(log, starts)
-    return out(D.for_each_partition(read, _summary, schema, starts=starts))
+    segments = D.for_each_partition(read, _extent, schema, starts=starts, split=True)
+    extent = F.max("last") - F.min("first") + 1
+    per_partition = segments.groupBy(*TP, "initial_offset").agg(
+        F.sum("n").alias("messages"), (extent - F.sum("n")).alias("breaks")
+    )
+    return out(per_partition)
 
 
 @query
@@ -301,7 +302,7 @@ def mixed_fold_by_user(spark, sf_dir):
     """Many short command lists: one topic-partition per event type and user."""
     wide = W.stored_log(spark, sf_dir).withColumn("partition", F.col("key_id").cast("int"))
     commands = W.commands(wide)
-    return out(P.apply_commands(P.initial_state(commands), commands))
+    return out(P.apply_commands(settle(P.initial_state(commands)).rows, commands))
 
 
 @query
@@ -473,7 +474,7 @@ def _previous_day(assignments: DataFrame) -> DataFrame:
 @query
 def partition_difference(spark, sf_dir):
     """Partitions a member owns in a generation and did not own in the one before."""
-    now = _assignments(spark, sf_dir)
+    now = settle(_assignments(spark, sf_dir)).rows
     keys = ["generation", "member_id", "topic", "partition"]
     return out(R.flat_difference(now, _previous_day(now), keys))
 
@@ -485,7 +486,7 @@ def _by_generation(df: DataFrame) -> DataFrame:
 
 @query
 def rebalance_success(spark, sf_dir):
-    now = _assignments(spark, sf_dir)
+    now = settle(_assignments(spark, sf_dir)).rows
     before, after = _by_generation(_previous_day(now)), _by_generation(now)
     gained = R.claimed_rows(before, after).withColumn("change", F.lit("claimed"))
     lost = R.released_rows(before, after).withColumn("change", F.lit("released"))
@@ -494,7 +495,7 @@ def rebalance_success(spark, sf_dir):
 
 @query
 def rebalance_by_topic(spark, sf_dir):
-    now = _assignments(spark, sf_dir)
+    now = settle(_assignments(spark, sf_dir)).rows
     diff = R.rebalance_diff(_by_generation(_previous_day(now)), _by_generation(now))
 
     def text(name: str):
