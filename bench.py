@@ -21,6 +21,7 @@ HEADLINE = [
     "committed_offsets",
     "mark_fold",
     "mixed_fold",
+    "mixed_fold_sliced",
     "mixed_fold_by_user",
     "stash_fold",
     "delivery_audit",

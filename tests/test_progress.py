@@ -51,7 +51,7 @@ def test_folds_equal_the_sequential_model(spark, slices):
     df = commands_df(spark, commands).cache()
     got = P.apply_commands(state_df(spark, state), df, "partition", slices)
     assert state_of(got) == partition_rule(state, commands)
-    assert state_of(P.apply_batch(state_df(spark, state), df)) == partition_rule(state, commands)
+    assert state_of(P.apply_commands(state_df(spark, state), df)) == partition_rule(state, commands)
     assert stash_of(P.stash_offsets(df, slices=slices)) == stash_rule({}, commands)
     stash = {k: (rng.randint(0, 12), "old") for k in keys[::3]}
     stash_df = spark.createDataFrame([(t, p, o, m) for (t, p), (o, m) in stash.items()], S.STASH)
@@ -74,7 +74,10 @@ def test_single_op_folds_equal_the_sequential_model(spark):
 
 
 def folded(spark, state, *commands):
-    return state_of(P.apply_commands(state_df(spark, state), commands_df(spark, commands)))
+    state, commands = state_df(spark, state), commands_df(spark, commands)
+    after = state_of(P.apply_commands(state, commands))
+    assert state_of(P.apply_commands(state, commands, slices=4)) == after
+    return after
 
 
 def acknowledged(spark, state, offset, error=None):
@@ -149,8 +152,6 @@ def test_fold_with_a_large_summary_takes_the_shuffled_way(spark, monkeypatch):
     state = {k: (rng.randint(-1, 12), "base", False) for k in keys[10:]}
     got = P.apply_commands(state_df(spark, state), commands_df(spark, commands), slices=8)
     assert state_of(got) == partition_rule(state, commands)
-    got = P.apply_batch(state_df(spark, state), commands_df(spark, commands))
-    assert state_of(got) == partition_rule(state, commands)
 
 
 def test_fold_never_shuffles_all_commands(spark, tmp_path):
@@ -162,7 +163,7 @@ def test_fold_never_shuffles_all_commands(spark, tmp_path):
     ).write.parquet(path)
     commands = spark.read.parquet(path)
     state = spark.createDataFrame([("t", p, -1, "", False) for p in range(3)], S.OFFSET_STATE)
-    plan = P.apply_commands(state, commands)._jdf.queryExecution().executedPlan().toString()
+    plan = P.apply_commands(state, commands, slices=16)._jdf.queryExecution().executedPlan().toString()
     lines = plan.splitlines()
     for i, line in enumerate(lines):
         if "Exchange hashpartitioning" in line:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import message_line
 from tidemark.plans.bounded import settle
-from tidemark.plans.ordering import SLICE, shuffle_width, with_slices
+from tidemark.plans.ordering import ROWS_PER_SLICE, SLICE, Slices, shuffle_width, split_points
 from tidemark.schemas import TP
 
 
@@ -62,7 +62,9 @@ def for_each_partition(
     else:
         rows = rows.withColumn("initial_offset", F.lit(None).cast("bigint"))
     if split:
-        rows = _with_entries(with_slices(rows, ["offset"], slices or shuffle_width(df)), carry)
+        width = slices or shuffle_width(df)
+        points = split_points(rows, ["offset"], width, 1 if slices else ROWS_PER_SLICE)
+        rows = _with_entries(Slices(["offset"], points).add(rows), carry)
     else:
         rows = rows.withColumn(SLICE, F.lit(0))
     # A literal segment number must not become a partitioning key: it is constant.

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.scalars import topic_partition_key
 from tidemark.operators.start import with_defaults
 from tidemark.operators.topics import only_subscribed
-from tidemark.plans.bounded import JoinSide, settle
+from tidemark.plans.bounded import JoinSide, is_small, settle
 from tidemark.plans.ordering import SLICE, Slices
 from tidemark.schemas import NO_OFFSET, TP
 
@@ -117,8 +117,9 @@ def apply_commands(
 ) -> DataFrame:
     """Apply marks and resets in ``seq`` order. Unsubscribed topic-partitions are ignored.
 
-    The order of the commands is never materialised. Going back from the last command,
-    let ``high`` be the highest mark and ``low`` the lowest reset seen so far. A mark
+    A few commands (by measured size, and unless ``slices`` is given) are applied one by
+    one. Beyond that, the order of the commands is never materialised. Going back from the
+    last command, let ``high`` be the highest mark and ``low`` the lowest reset seen so far. A mark
     above ``low`` leaves the position at ``low`` whatever came before it, and a reset
     below ``high`` leaves it at ``high``: only the latest such turning command matters.
     Highest mark and lowest reset are plain aggregates, so
@@ -132,27 +133,21 @@ def apply_commands(
     Every step reads the commands with map-side aggregation or a filter by a small side;
     none shuffles them by topic-partition.
     """
+    if slices is None and is_small(commands.select("seq", *TP, "op", "offset", "metadata")):
+        return _fold_in_order(state, commands, RULES[rule])
     finals, recent = _final_positions(state, commands, RULES[rule], slices)
     return _updated(state, _winners(commands.where(recent), finals, RULES[rule]))
 
 
-def apply_batch(state: DataFrame, commands: DataFrame, rule: str = "partition") -> DataFrame:
-    """:func:`apply_commands` for a micro-batch.
-
-    A batch within the size limit is folded command by command in one job; a larger one
-    takes the general way.
-    """
-    batch = settle(commands.select("seq", *TP, "op", "offset", "metadata"))
-    if not batch.is_small:
-        return apply_commands(state, batch.rows, rule)
-    kind = RULES[rule]
-    steps = batch.rows.groupBy(*TP).agg(
+def _fold_in_order(state: DataFrame, commands: DataFrame, rule: Rule) -> DataFrame:
+    """Apply a bounded number of commands one by one, in one job."""
+    steps = commands.groupBy(*TP).agg(
         F.array_sort(F.collect_list(F.struct("seq", "op", "offset", "metadata"))).alias("steps")
     )
 
     def step(now: Column, command: Column) -> Column:
-        target = command["offset"] + F.lit(kind.shift)
-        forward = target >= now["offset"] if kind.last_mark_wins else target > now["offset"]
+        target = command["offset"] + F.lit(rule.shift)
+        forward = target >= now["offset"] if rule.last_mark_wins else target > now["offset"]
         wins = ((command["op"] == MARK) & forward) | (
             (command["op"] == RESET) & (target <= now["offset"])
         )
@@ -164,7 +159,7 @@ def apply_batch(state: DataFrame, commands: DataFrame, rule: str = "partition")
     start = F.struct("offset", "metadata", "dirty")
     after = F.when(F.col("steps").isNull(), start).otherwise(F.aggregate("steps", start, step))
     return (
-        state.join(batch.bounded(steps), TP, "left")
+        state.join(steps, TP, "left")
         .select(*TP, after.alias("s"))
         .select(*TP, "s.offset", "s.metadata", "s.dirty")
     )

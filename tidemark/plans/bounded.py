@@ -63,6 +63,14 @@ def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES)
         held.unpersist()
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> bool:
+    """Is ``df`` within both limits? Its rows are counted first, which for a stored table
+    takes only file footers; their size is measured only if they are few."""
+    if df.count() > max_rows:
+        return False
+    return (df.agg(F.sum(_row_bytes(df))).first()[0] or 0) <= max_bytes
+
+
 def _row_bytes(df: DataFrame) -> Column:
     """About how many bytes a row takes."""
     total = F.lit(8 * len(df.columns))

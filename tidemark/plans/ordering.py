@@ -24,6 +24,7 @@ from tidemark.plans.bounded import settle
 
 SLICE = "__slice"
 MIN_SLICES, MAX_SLICES = 64, 8192
+ROWS_PER_SLICE = 1024
 _SLICES_PER_TASK = 4
 _SAMPLES_PER_SLICE = 24
 
@@ -38,8 +39,11 @@ def slice_count(df: DataFrame) -> int:
     return min(max(_SLICES_PER_TASK * shuffle_width(df), MIN_SLICES), MAX_SLICES)
 
 
-def split_points(df: DataFrame, order: Sequence[str], slices: int) -> list:
-    """At most ``slices - 1`` ascending order values that cut ``df`` about evenly.
+def split_points(
+    df: DataFrame, order: Sequence[str], slices: int, rows_per_slice: int = 1
+) -> list:
+    """At most ``slices - 1`` ascending order values that cut ``df`` about evenly, fewer if
+    a slice would get less than ``rows_per_slice`` rows.
 
     Order values whose hash falls in a fixed share of the hash range are sampled: some per
     slice, whatever the size of ``df``. They only steer the balance of the slices; results
@@ -48,7 +52,11 @@ def split_points(df: DataFrame, order: Sequence[str], slices: int) -> list:
     if slices <= 1:
         return []
     values = df.select(*order)
-    every = max(1, values.count() // (slices * _SAMPLES_PER_SLICE))
+    total = values.count()
+    slices = min(slices, total // rows_per_slice)
+    if slices <= 1:
+        return []
+    every = max(1, total // (slices * _SAMPLES_PER_SLICE))
     if every > 1:
         values = values.where(F.pmod(F.xxhash64(*order), F.lit(every)) == 0)
     rows = sorted(tuple(r) for r in values.dropna().distinct().collect())
@@ -66,7 +74,11 @@ class Slices:
 
     @staticmethod
     def of(df: DataFrame, order: Sequence[str], slices: int | None = None) -> Slices:
-        return Slices(list(order), split_points(df, order, slices or slice_count(df)))
+        if slices is None:
+            return Slices(
+                list(order), split_points(df, order, slice_count(df), ROWS_PER_SLICE)
+            )
+        return Slices(list(order), split_points(df, order, slices))
 
     def add(self, df: DataFrame) -> DataFrame:
         """Add the column ``SLICE``: the number of points at or below the order value.

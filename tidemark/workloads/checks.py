@@ -440,4 +440,7 @@ _BODIES = {
     "stream_resume": _RESUMED,
 }
 
+_BODIES["mixed_fold_sliced"] = _BODIES["mixed_fold"]
+_BODIES["stash_fold_sliced"] = _BODIES["stash_fold"]
+
 CHECKS = {name: _check(body) for name, body in _BODIES.items()}

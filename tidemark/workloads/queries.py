@@ -18,7 +18,7 @@ from tidemark.operators import start as ST
 from tidemark.operators import topics as TO
 from tidemark.options import GroupOptions
 from tidemark.plans.bounded import settle
-from tidemark.plans.ordering import split_points, with_position
+from tidemark.plans.ordering import slice_count, split_points, with_position
 from tidemark.plans.scratch import scratch_path
 from tidemark.schemas import TP
 from tidemark.sources.topic_log import as_topic_log, merge_streams, read_topics, write_topic_log
@@ -69,7 +69,7 @@ def offset_range_read(spark, sf_dir):
 def multiplexed_read(spark, sf_dir):
     log = W.stored_log(spark, sf_dir)
     topics = TO.select_topics(TO.catalog(log), CORE, WHITELIST, BLACKLIST)
-    path = W._STORED.paths[(spark.sparkContext.applicationId, sf_dir)]
+    path = W.stored_log_path(spark, sf_dir)
     read = read_topics(spark, path, topics, schema=log.schema)
     return out(read.select(*TP, "offset", "key_id", "payload", "amount"))
 
@@ -149,7 +149,8 @@ def topic_write(spark, sf_dir):
     )
     path = scratch_path(spark, "document-log")
     write_topic_log(docs, path)
-    return out(spark.read.parquet(path).select(*TP, "offset", "doc_id", "key", "value"))
+    stored = spark.read.schema(docs.schema).parquet(path)
+    return out(stored.select(*TP, "offset", "doc_id", "key", "value"))
 
 
 @query
@@ -297,6 +298,19 @@ def mixed_fold(spark, sf_dir):
     return out(P.apply_commands(_state(log), W.commands(log)))
 
 
+@query
+def mixed_fold_sliced(spark, sf_dir):
+    """The fold as it runs on logs of any size."""
+    log = W.stored_log(spark, sf_dir)
+    return out(P.apply_commands(_state(log), W.commands(log), slices=slice_count(log)))
+
+
+@query
+def stash_fold_sliced(spark, sf_dir):
+    log = W.stored_log(spark, sf_dir)
+    return out(P.stash_offsets(W.commands(log), slices=slice_count(log)))
+
+
 @query
 def mixed_fold_by_user(spark, sf_dir):
     """Many short command lists: one topic-partition per event type and user."""
@@ -677,7 +691,7 @@ def stream_resume(spark, sf_dir):
     log = W.stored_log(spark, sf_dir)
     sink, checkpoint = scratch_path(spark, "resumed"), scratch_path(spark, "checkpoint")
     topics = TO.select_topics(TO.catalog(log), CORE, WHITELIST, BLACKLIST)
-    path = W._STORED.paths[(spark.sparkContext.applicationId, sf_dir)]
+    path = W.stored_log_path(spark, sf_dir)
     ranges = W.small(ST.log_bounds(log))
     stream = watch.resume_stream(
         spark, path, topics, ranges, W.commits(log), GROUP, "oldest", schema=log.schema

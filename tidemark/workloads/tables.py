@@ -60,12 +60,17 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED.paths:
-        path = scratch_path(spark, "event-log")
-        write_topic_log(event_log(spark, sf_dir), path)
-        _STORED.paths[key] = path
-    return spark.read.parquet(_STORED.paths[key]).select(
-        *TP, "offset", "event_id", "key_id", "payload", "amount", "ts"
-    )
+        path, log = scratch_path(spark, "event-log"), event_log(spark, sf_dir)
+        write_topic_log(log, path)
+        _STORED.paths[key] = (path, log.schema)
+    path, schema = _STORED.paths[key]
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def stored_log_path(spark: SparkSession, sf_dir: str) -> str:
+    """Folder of :func:`stored_log`."""
+    stored_log(spark, sf_dir)
+    return _STORED.paths[(spark.sparkContext.applicationId, sf_dir)][0]
 
 
 def bounds(log: DataFrame) -> DataFrame:
