@@ -3,6 +3,7 @@ import pytest
 from tidemark import schemas as S
 from tidemark.operators import assign as A
 
+# Members, partitions, owners by range, owners in turn.
 CASES = [
     (["M1", "M2", "M3"], [0, 1, 2], {"M1": [0], "M2": [1], "M3": [2]}, {"M1": [0], "M2": [1], "M3": [2]}),
     (["M3", "M1", "M2"], [0, 1, 2], {"M1": [0], "M2": [1], "M3": [2]}, {"M1": [0], "M2": [1], "M3": [2]}),

@@ -87,21 +87,21 @@ def acknowledged(spark, state, offset, error=None):
 
 def test_marks_resets_and_acknowledgements_step_by_step(spark):
     key = ("topic", 0)
-    state = {key: (2000, "m3ta", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2001, "met@"))
-    assert state == {key: (2002, "met@", True)}
+    state = {key: (2000, "first", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2001, "second"))
+    assert state == {key: (2002, "second", True)}
     assert acknowledged(spark, state, 2001) == state
     assert acknowledged(spark, state, 2002, "refused") == state
     state = acknowledged(spark, state, 2002)
-    assert state == {key: (2002, "met@", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2001, "me7a"))
-    assert state == {key: (2002, "met@", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2002, "me7a"))
-    assert state == {key: (2003, "me7a", True)}
-    state = folded(spark, state, ("topic", 0, "reset", 2001, "met@"))
-    assert state == {key: (2002, "met@", True)}
+    assert state == {key: (2002, "second", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2001, "third"))
+    assert state == {key: (2002, "second", False)}
+    state = folded(spark, state, ("topic", 0, "mark", 2002, "third"))
+    assert state == {key: (2003, "third", True)}
+    state = folded(spark, state, ("topic", 0, "reset", 2001, "second"))
+    assert state == {key: (2002, "second", True)}
     state = acknowledged(spark, state, 2002)
-    assert state == {key: (2002, "met@", False)}
+    assert state == {key: (2002, "second", False)}
     assert folded(spark, state, ("topic", 0, "reset", 2001, "tie")) == {key: (2002, "tie", True)}
     assert folded(spark, state, ("other", 0, "mark", 1, "x")) == state
 
@@ -110,13 +110,13 @@ def test_stash_step_by_step(spark):
     def stash(*commands):
         return stash_of(P.stash_offsets(commands_df(spark, commands)))
 
-    first = ("topic", 0, "mark", 0, "m3ta")
-    later = ("topic", 0, "mark", 200, "m3ta")
-    assert stash(first) == {("topic", 0): (0, "m3ta")}
-    assert stash(first, later, ("topic", 0, "mark", 199, "m3t@")) == {("topic", 0): (200, "m3ta")}
-    assert stash(first, later, ("topic", 0, "reset", 199, "m3t@")) == {("topic", 0): (199, "m3t@")}
-    both = stash(later, ("topic", 1, "mark", 300, ""), ("topic", 1, "reset", 200, "m3t@"))
-    assert both == {("topic", 0): (200, "m3ta"), ("topic", 1): (200, "m3t@")}
+    first = ("topic", 0, "mark", 0, "first")
+    later = ("topic", 0, "mark", 200, "first")
+    assert stash(first) == {("topic", 0): (0, "first")}
+    assert stash(first, later, ("topic", 0, "mark", 199, "again")) == {("topic", 0): (200, "first")}
+    assert stash(first, later, ("topic", 0, "reset", 199, "again")) == {("topic", 0): (199, "again")}
+    both = stash(later, ("topic", 1, "mark", 300, ""), ("topic", 1, "reset", 200, "again"))
+    assert both == {("topic", 0): (200, "first"), ("topic", 1): (200, "again")}
     assert stash(("topic", 0, "reset", 5, "x"), ("topic", 1, "mark", -1, "y")) == {}
     rows = P.stash_map(spark.createDataFrame([("a", 3, 7, "")], S.STASH)).collect()
     assert [(r.key, r.offset) for r in rows] == [("a-3", 7)]
@@ -134,12 +134,12 @@ def test_stash_is_applied_once_per_entry(spark):
 
 
 def test_snapshot_of_subscribed_partitions(spark):
-    state = {("t", 0): (2000, "m3ta", False), ("t", 1): (2000, "m3ta", False)}
-    after = P.mark_offsets(state_df(spark, state), commands_df(spark, [("t", 1, "mark", 2000, "met@")]))
-    want = {("t", 0): (2000, "m3ta", False), ("t", 1): (2001, "met@", True)}
+    state = {("t", 0): (2000, "first", False), ("t", 1): (2000, "first", False)}
+    after = P.mark_offsets(state_df(spark, state), commands_df(spark, [("t", 1, "mark", 2000, "second")]))
+    want = {("t", 0): (2000, "first", False), ("t", 1): (2001, "second", True)}
     assert state_of(P.snapshot(after)) == want
     subs = spark.createDataFrame([("t", 1)], S.CATALOG)
-    assert state_of(P.snapshot(after, subs)) == {("t", 1): (2001, "met@", True)}
+    assert state_of(P.snapshot(after, subs)) == {("t", 1): (2001, "second", True)}
 
 
 def test_fold_with_a_large_summary_takes_the_shuffled_way(spark, monkeypatch):

@@ -49,12 +49,12 @@ def test_topic_patterns(spark):
 
 def test_start_positions(spark):
     bounds = spark.createDataFrame([("t", p, 1000, 3000) for p in range(6)], S.BOUNDS)
-    committed = [("t", 0, 2000, "m3ta"), ("t", 1, 200, "m3ta"), ("t", 2, -1, ""), ("t", 3, 3000, ""), ("t", 4, 3001, "x"), ("t", 5, 1000, "")]
+    committed = [("t", 0, 2000, "first"), ("t", 1, 200, "first"), ("t", 2, -1, ""), ("t", 3, 3000, ""), ("t", 4, 3001, "x"), ("t", 5, 1000, "")]
     committed = spark.createDataFrame(committed, S.COMMITTED)
     got = {r.partition: tuple(r)[2:] for r in ST.resolve_start(committed, bounds, "oldest").collect()}
     assert got == {
-        0: (2000, "m3ta", 2000, 2000, "committed"),
-        1: (-1, "m3ta", -2, 1000, "out_of_range"),
+        0: (2000, "first", 2000, 2000, "committed"),
+        1: (-1, "first", -2, 1000, "out_of_range"),
         2: (-1, "", -2, 1000, "default"),
         3: (3000, "", 3000, 3000, "committed"),
         4: (-1, "x", -2, 1000, "out_of_range"),
@@ -63,7 +63,7 @@ def test_start_positions(spark):
     newest = {r.partition: (r.initial_offset, r.resolved_offset) for r in ST.resolve_start(committed, bounds).collect()}
     assert newest[1] == newest[2] == newest[4] == (-1, 3000)
     state = P.state_from_starts(ST.resolve_start(committed, bounds))
-    assert state.where("partition = 1").first()[2:] == (-1, "m3ta", False)
+    assert state.where("partition = 1").first()[2:] == (-1, "first", False)
     with pytest.raises(OptionError):
         ST.resolve_start(committed, bounds, "latest")
 

@@ -2,6 +2,7 @@ from tidemark import schemas as S
 from tidemark.functions import scalars as fn
 from tidemark.operators import rebalance as R
 
+# Two assignments of one member.
 PREVIOUS = {"a": [1, 2, 3], "b": [4, 5], "c": [1, 2]}
 CURRENT = {"a": [3, 4], "b": [1, 2, 3, 4], "d": [3, 4]}
 

@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.rebalance import rebalance_attempts, rebalance_headers, rebalance_rows
 from tidemark.plans.bounded import settle
-from tidemark.streaming.tracker import _start
+from tidemark.streaming.tracker import start_batches
 from tidemark.streaming.versions import previous_version, write_version
 
 # One row per owned partition; a row without topic stands for an attempt that ended
@@ -52,4 +52,4 @@ def rebalance_stream(
         finally:
             batch.unpersist()
 
-    return _start(generations, step, checkpoint, trigger)
+    return start_batches(generations, step, checkpoint, trigger)

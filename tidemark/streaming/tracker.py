@@ -65,10 +65,13 @@ def track_offsets(
         finally:
             batch.unpersist()
 
-    return _start(commands, step, checkpoint, trigger)
+    return start_batches(commands, step, checkpoint, trigger)
 
 
-def _start(stream: DataFrame, step, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+def start_batches(
+    stream: DataFrame, step: Callable, checkpoint: str, trigger: dict | None
+) -> StreamingQuery:
+    """Run ``step(batch, batch_id)`` for every micro-batch; by default until caught up."""
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -135,7 +138,7 @@ def auto_commit(
             batch.unpersist()
 
     every = {"processingTime": f"{options.commit_interval_ms} milliseconds"}
-    return _start(messages, step, checkpoint, trigger or every)
+    return start_batches(messages, step, checkpoint, trigger or every)
 
 
 def _commit(

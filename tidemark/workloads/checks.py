@@ -441,6 +441,7 @@ _BODIES = {
 }
 
 _BODIES["mixed_fold_sliced"] = _BODIES["mixed_fold"]
+_BODIES["group_read"] = _RESUMED
 _BODIES["stash_fold_sliced"] = _BODIES["stash_fold"]
 
 CHECKS = {name: _check(body) for name, body in _BODIES.items()}

@@ -17,6 +17,7 @@ from tidemark.operators import rebalance as R
 from tidemark.operators import start as ST
 from tidemark.operators import topics as TO
 from tidemark.options import GroupOptions
+from tidemark.plans import group_read as GR
 from tidemark.plans.bounded import settle
 from tidemark.plans.ordering import slice_count, split_points, with_position
 from tidemark.plans.scratch import scratch_path
@@ -74,6 +75,16 @@ def multiplexed_read(spark, sf_dir):
     return out(read.select(*TP, "offset", "key_id", "payload", "amount"))
 
 
+@query
+def group_read(spark, sf_dir):
+    """The whole way of a group: topics, committed offsets, start positions, messages."""
+    log = W.stored_log(spark, sf_dir)
+    options = GroupOptions(GROUP, initial="oldest", whitelist=WHITELIST, blacklist=BLACKLIST)
+    path = W.stored_log_path(spark, sf_dir)
+    read = GR.read_group(spark, path, CORE, W.commits(log), options, schema=log.schema)
+    return out(read.select(*TP, "offset", "event_id"))
+
+
 def _running(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     count, cents = int(info.entry["count"]), int(info.entry["cents"])
     for batch in batches:
