@@ -82,3 +82,20 @@ def test_large_sides_are_written_not_broadcast(spark):
     assert small.df.count() == large.df.count() == wide.df.count() == 1000
     plan = large.df.join(spark.range(10), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "ResolvedHint" not in plan and "strategy=broadcast" not in plan
+
+
+@pytest.mark.parametrize("expression", [
+    "timestamp_micros(id * 1234567)",
+    "cast(timestamp_micros(id * 1234567) AS timestamp_ntz)",
+    "cast(id AS decimal(20, 3))",
+    "id / 3",
+    "date_add(date'2000-01-01', cast(id % 5000 AS int))",
+    "concat('x\"', id)",
+    "cast(cast(id AS string) AS binary)",
+])
+def test_every_order_type_is_cut(spark, expression):
+    df = spark.range(5000).selectExpr(f"{expression} AS x")
+    cut = with_slices(df, ["x"], 8).groupBy(SLICE).agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
+    rows = sorted(cut.collect(), key=lambda r: r[SLICE])
+    assert [r[SLICE] for r in rows] == list(range(8))
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))

@@ -1,0 +1 @@
+"""Partitioned topic logs on Spark: selection, start positions, progress, assignment."""

@@ -10,6 +10,7 @@ task that is run again after an executor is lost gives the same answer.
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
@@ -65,6 +66,11 @@ def split_points(
     return [r[0] for r in picked] if len(order) == 1 else [dict(zip(order, r)) for r in picked]
 
 
+def _as_json(value) -> str:
+    """Text of a split point in the form ``from_json`` reads."""
+    return base64.b64encode(value).decode() if isinstance(value, (bytes, bytearray)) else str(value)
+
+
 @dataclass(frozen=True)
 class Slices:
     """A cut of tables along ``order`` at fixed ``points``."""
@@ -92,7 +98,7 @@ class Slices:
             value, element = F.col(self.order[0]), df.schema[self.order[0]].dataType
         else:
             value, element = F.struct(*self.order), df.select(*self.order).schema
-        table = F.from_json(F.lit(json.dumps(self.points, default=str)), T.ArrayType(element))
+        table = F.from_json(F.lit(json.dumps(self.points, default=_as_json)), T.ArrayType(element))
         found, steps = F.lit(0), []
         for bit in reversed(range(len(self.points).bit_length())):
             probe = found + F.lit(1 << bit)

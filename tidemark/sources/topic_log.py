@@ -33,13 +33,20 @@ def as_topic_log(
 
 
 def write_topic_log(
-    df: DataFrame, path: str, mode: str = "errorifexists", by_topic: bool = True
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    by_topic: bool = True,
+    numbered: bool = False,
 ) -> None:
     """Store a log, one folder per topic, sorted so that offset filters skip row groups.
 
-    With very many topics pass ``by_topic=False`` to avoid one folder for each.
+    ``numbered`` says that ``df`` comes straight from :func:`as_topic_log`: its tasks
+    already hold their rows in offset order, so they are not sorted again. With very many
+    topics pass ``by_topic=False`` to avoid one folder for each.
     """
-    writer = df.sortWithinPartitions(*TP, "offset").write.mode(mode)
+    rows = df if numbered else df.sortWithinPartitions(*TP, "offset")
+    writer = rows.write.mode(mode)
     (writer.partitionBy("topic") if by_topic else writer).parquet(path)
 
 

@@ -159,7 +159,7 @@ def topic_write(spark, sf_dir):
         keep=[F.col("source").alias("key"), F.col("text").alias("value")],
     )
     path = scratch_path(spark, "document-log")
-    write_topic_log(docs, path)
+    write_topic_log(docs, path, numbered=True)
     stored = spark.read.schema(docs.schema).parquet(path)
     return out(stored.select(*TP, "offset", "doc_id", "key", "value"))
 

@@ -61,7 +61,7 @@ def stored_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED.paths:
         path, log = scratch_path(spark, "event-log"), event_log(spark, sf_dir)
-        write_topic_log(log, path)
+        write_topic_log(log, path, numbered=True)
         _STORED.paths[key] = (path, log.schema)
     path, schema = _STORED.paths[key]
     return spark.read.schema(schema).parquet(path).select(*schema.names)
