@@ -50,3 +50,16 @@ def calibrate(score: np.ndarray, label: np.ndarray, steps: int = 60) -> tuple[fl
         hessian = (x * (p * (1 - p))) @ x.T + 1e-3 * np.eye(2)
         w = w - np.clip(np.linalg.solve(hessian, grad), -2, 2)
     return float(max(w[0], 1e-6) / scale), float(w[1])
+
+
+def fit_dense(x: np.ndarray, label: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
+    """Weights (the last is the bias) by damped Newton steps on few dense features."""
+    x = np.column_stack((x, np.ones(len(x))))
+    w = np.zeros(x.shape[1])
+    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
+    for _ in range(steps):
+        p = sigmoid(x @ w)
+        grad = x.T @ (p - label) + penalty * w
+        hessian = (x.T * (p * (1 - p))) @ x + np.diag(penalty + 1e-6)
+        w = w - np.clip(np.linalg.solve(hessian, grad), -2, 2)
+    return w

@@ -23,6 +23,10 @@ _powers = [np.ones(1, _U), np.ones(1, _U)]
 
 WHITE = np.zeros(256, bool)
 WHITE[[9, 10, 11, 12, 13, 32]] = True
+SOLID = ~WHITE
+#: ASCII letters and all bytes of other characters.
+LETTERS = np.zeros(256, bool)
+LETTERS[65:91] = LETTERS[97:123] = LETTERS[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -59,9 +63,10 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
 
 
 class Texts:
-    """Bytes, document bounds and words of some texts (null counts as empty)."""
+    """Bytes, document bounds and words of some texts (null counts as empty). `inside` tells
+    which bytes belong to words, by default all that are not white."""
 
-    def __init__(self, column: pa.Array, lower: bool = False):
+    def __init__(self, column: pa.Array, lower: bool = False, inside: np.ndarray = SOLID):
         column = pc.fill_null(column, "").cast(pa.large_string())
         offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
         raw = column.buffers()[2]
@@ -70,7 +75,7 @@ class Texts:
         self.bounds = offsets - offsets[0]
         self.n = len(column)
         self._sums = None
-        solid = ~WHITE[self.data]
+        solid = inside[self.data]
         first = solid.copy()
         first[1:] &= ~solid[:-1]
         last = solid.copy()
@@ -138,8 +143,3 @@ def repeated(doc: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray
     in_group, later = np.empty(len(d), bool), np.empty(len(d), bool)
     in_group[order], later[order] = group, same
     return in_group, later
-
-
-def code_points(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Code points before each byte of `data`, counted from the start of all texts."""
-    return np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80, dtype=np.int64)))
