@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, quality, toxicity
+from tidemark.llm import language, mixing, packing, quality, secrets, toxicity
 from tidemark.llm.common import table
 
 
@@ -15,6 +15,27 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers")
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.replicate(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
+def tokenizer() -> str:
+    """Path of the vocabulary, which is installed alike on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return language.label(documents, language.train(documents))
@@ -27,6 +48,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op4_secret_scans": op4_secret_scans,
+    "op5_source_mixing": op5_source_mixing,
+    "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
 }

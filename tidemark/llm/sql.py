@@ -1,3 +1,17 @@
 """The queries that SQL can express, as SQL over the same tables."""
 
-CHECKS: dict[str, str] = {}
+_UNIFORM = "(('0x' || substr(md5('mix:count:' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0"
+
+CHECKS: dict[str, str] = {
+    # The repetition count is the number of k whose cumulated probability stays below the hash.
+    "op5_source_mixing": f"""
+with n as (select source, count(*) n_docs from documents group by source),
+r as (select source, sqrt(n_docs) / (select sum(sqrt(n_docs)) from n) * (select sum(n_docs) from n) / n_docs rate from n),
+p as (select source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by source order by k) below
+      from r, lateral (select unnest(range(0, (rate + 40 * sqrt(rate) + 60)::bigint)) k)),
+d as (select doc_id, source, {_UNIFORM} u from documents),
+c as (select doc_id, d.source, u, (select count(*) from p where p.source is not distinct from d.source and p.below < u) reps from d),
+e as (select doc_id, source, unnest(range(0, reps)) copy from c)
+select doc_id, source, copy::int copy, md5('mix:place:' || coalesce(doc_id::varchar, 'null') || ':' || copy) shuffle_key from e
+""",
+}
