@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language, mixing, packing, quality, secrets, toxicity
+from tidemark.llm import chats, language, mixing, packing, quality, secrets, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -15,6 +15,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chats.linked(*chats.calls_of(table(spark, sf_dir, "conversations")), chats.RESPOND)
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_layers")
@@ -48,8 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_chat_formatting": op3_chat_formatting,
     "op4_secret_scans": op4_secret_scans,
     "op5_source_mixing": op5_source_mixing,
+    "op6_topk_search": op6_topk_search,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
