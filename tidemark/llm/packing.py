@@ -37,6 +37,13 @@ _PIECES = pa.schema(
 _PIECE_DDL = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Path of a public vocabulary, which is installed alike on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def pieces(documents: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
     """One row per piece of a document's ids; ``tokenizer`` is the file's path on executors."""
 

@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import chats, language, mixing, packing, quality, secrets, topk, toxicity
+import corpus_pipeline
+from tidemark.llm import chats, jaccard, language, mixing, packing, personal, quality, secrets, topk, toxicity
 from tidemark.llm.common import table
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
@@ -33,15 +38,12 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
-def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find(table(spark, sf_dir, "documents")).drop("sanitised")
 
 
-def tokenizer() -> str:
-    """Path of the vocabulary, which is installed alike on all machines."""
-    import public_tokenizers
-
-    return public_tokenizers.path("word_bpe_49k.json")
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), packing.vocabulary())
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,12 +57,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op4_secret_scans": op4_secret_scans,
     "op5_source_mixing": op5_source_mixing,
     "op6_topk_search": op6_topk_search,
+    "op7_personal_data": op7_personal_data,
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "pipeline": corpus_pipeline.run,
 }
