@@ -102,3 +102,10 @@ def test_many_owners_take_the_shuffled_way(spark, monkeypatch):
         for i, item in enumerate(sorted(r.item for r in items.collect() if r.g == g)):
             placed[(g, item)] = ranked[i % len(ranked)]
     assert {(r.g, r.item): r.owner for r in fast.collect()} == placed
+
+
+def test_null_groups_are_refused(spark):
+    items = spark.createDataFrame([("t", 1), (None, 2)], "topic string, item int")
+    owners = spark.createDataFrame([("t", "m")], "topic string, owner string")
+    with pytest.raises(ValueError, match="null in group columns"):
+        A.assign_range(items, owners, ["topic"], "item", "owner").collect()

@@ -121,6 +121,14 @@ def test_expired_commits_are_not_fetched(spark):
     assert {r.partition: r.offset for r in got} == {0: -1, 1: 6}
 
 
+def test_an_older_commit_does_not_come_back(spark):
+    old, new = datetime(2024, 1, 1), datetime(2024, 1, 2)
+    rows = [("g", "m", 1, "t", 0, 31, "", -1, old, 1), ("g", "m", 1, "t", 0, 84, "", 10, new, 2)]
+    commits = spark.createDataFrame(rows, S.COMMITS)
+    subs = spark.createDataFrame([("t", 0)], S.CATALOG)
+    assert ST.fetch_committed(commits, subs, "g", retained_after=datetime(2024, 1, 3)).first().offset == -1
+
+
 def test_lines(log, tmp_path, spark):
     df, _ = log
     one = df.where("topic = 'topic-a' AND partition = 1 AND offset = 3")

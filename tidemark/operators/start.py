@@ -30,12 +30,14 @@ def latest_commits(commits: DataFrame, group_id: str | None = None) -> DataFrame
     """The newest commit of each topic-partition of each group (or of one group)."""
     if group_id is not None:
         commits = commits.where(F.col("group_id") == group_id)
-    newest = F.max_by(F.struct("offset", "metadata"), F.struct("committed_at", "batch_id"))
-    return (
-        commits.groupBy("group_id", *TP)
-        .agg(newest.alias("c"))
-        .select("group_id", *TP, "c.offset", "c.metadata")
-    )
+    return _newest(commits).select("group_id", *TP, "offset", "metadata")
+
+
+def _newest(commits: DataFrame) -> DataFrame:
+    """The newest commit with its retention; ties go to the later generation, then offset."""
+    kept = F.struct("offset", "metadata", "committed_at", "retention_ms")
+    newest = F.max_by(kept, F.struct("committed_at", "batch_id", "generation", "offset"))
+    return commits.groupBy("group_id", *TP).agg(newest.alias("c")).select("group_id", *TP, "c.*")
 
 
 def fetch_committed(
@@ -46,13 +48,14 @@ def fetch_committed(
 ) -> DataFrame:
     """Committed offset and metadata of every subscribed topic-partition.
 
-    Without a commit the offset is -1 and the metadata empty. ``retained_after`` drops
-    commits whose own retention ended before that timestamp.
+    Without a commit the offset is -1 and the metadata empty. So it is where the newest
+    commit's own retention ended before ``retained_after``; older commits do not come back.
     """
+    newest = _newest(commits.where(F.col("group_id") == group_id))
     if retained_after is not None:
         ends = F.timestamp_millis(F.unix_millis("committed_at") + F.col("retention_ms"))
-        commits = commits.where((F.col("retention_ms") < 0) | (ends >= F.lit(retained_after)))
-    return with_defaults(latest_commits(commits, group_id).drop("group_id"), subs)
+        newest = newest.where((F.col("retention_ms") < 0) | (ends >= F.lit(retained_after)))
+    return with_defaults(newest.select(*TP, "offset", "metadata"), subs)
 
 
 def with_defaults(committed: DataFrame, subs: DataFrame) -> DataFrame:

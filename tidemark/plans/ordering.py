@@ -174,7 +174,10 @@ def running(
     extra: list[str] = []
     if per_group is not None:
         extra = [c for c in per_group.columns if c not in group]
-        bases = bases.join(per_group, group)
+        # Null groups stay until they are refused below.
+        known = per_group.withColumn("__known", F.lit(True))
+        refused = reduce(Column.__or__, [F.col(c).isNull() for c in group])
+        bases = bases.join(known, group, "left").where(F.col("__known") | refused).drop("__known")
 
     local = W.partitionBy(*cells).orderBy(*order)
     so_far = local.rowsBetween(W.unboundedPreceding, W.currentRow)
