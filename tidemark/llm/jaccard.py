@@ -1,15 +1,17 @@
 """Similarity join of word n-gram sets by vertical partitioning.
 
-The n-grams have a global order: rarest first, by the number of different sets that hold them.
-It is cut into fragments; a set's n-grams in a fragment form a segment. Overlaps of candidate
-pairs are counted for each fragment separately, as the intersection of two segments, and summed
-per pair, which gives the exact Jaccard similarity.
-
-Candidates share an n-gram among the rarest of both sets (two sets at the threshold must). A
-first, cheaper pass with an order by hash alone removes the sets that can have no partner. Equal sets are one class
-from the start, and links inside a connected class need no test: a group of sets with a common
-n-gram is first compared with a few pivots only (those whose n-grams are most common), and what
-then still lies in different classes is compared in full. So a group of many near copies costs
+The n-grams have a global order: rarest first, by counts in a fixed number of hash buckets, ties
+by hash. Any order is exact; this one keeps frequent n-grams out of the prefixes, and the counts
+have the same size at any size of the corpus. The order is cut into fragments; a set's n-grams in
+a fragment form a segment. Overlaps of candidate pairs are counted for each fragment separately,
+as the intersection of two segments, and summed per pair, which gives the exact Jaccard similarity.
+
+Equal sets are one class from the start. A first pass over a prefix of every class in hash order
+keeps the classes of which so many n-grams are also found elsewhere that a partner is possible;
+only their n-grams are held in full. Candidates share an n-gram among the rarest of both sets (two
+sets at the threshold must). Links inside a connected class need no test: a group of sets with a
+common n-gram is first compared with a few pivots only (those whose n-grams are most common), and
+what then still lies in different classes is compared in full. So a group of many near copies costs
 rows in proportion to its size, and no link between classes is lost.
 
 Classes come from rounds in which every class joins its smallest neighbour, with pointer doubling.
@@ -34,9 +36,13 @@ from tidemark.llm.textkit import Texts, joined, mixed, slices
 
 N = 5
 FRAGMENTS = 8
+#: Hash bits of the counts behind the global order: 2^18 counts, whatever the corpus.
+ORDER_BITS = 18
 PIVOT_ROUNDS = 2
 
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("grams", pa.list_(pa.int64()))])
+_SETS = pa.schema(
+    [("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("mark", pa.binary()), ("grams", pa.list_(pa.int64()))]
+)
 
 
 def _grams(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,9 +65,20 @@ def _grams(texts: Texts, n: int) -> tuple[np.ndarray, np.ndarray]:
     return doc[fresh], found[fresh]
 
 
-def gram_sets(documents: DataFrame, n: int = N) -> DataFrame:
-    """(doc_id, n, mark, grams): size of the set, a 128-bit mark of its content (null if empty),
-    and the hashes of its n-grams."""
+def _prefix(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of a set's first n-grams must hold one in common with any partner's."""
+    return n - (n * percent + 99) // 100 + 1
+
+
+def _screened(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many n-grams of a set the first pass looks at: half as many again as the prefix."""
+    return np.minimum(n, _prefix(n, percent) * 3 // 2)
+
+
+def gram_sets(documents: DataFrame, n: int = N, screen: int | None = None) -> DataFrame:
+    """(doc_id, row, n, mark, grams): hash of the row, size of the set, a 128-bit mark of its
+    content (null if empty), and the hashes of its n-grams in ascending order; with ``screen``
+    only the first of them, as many as the first pass at that percentage needs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,15 +91,72 @@ def gram_sets(documents: DataFrame, n: int = N) -> DataFrame:
                 sums = np.stack([x[bounds[1:]] - x[bounds[:-1]] for x in (a, b)], axis=1)
                 size = np.diff(bounds)
                 marks = [s.tobytes() + int(k).to_bytes(4, "little") if k else None for s, k in zip(sums, size)]
+                if screen is not None:
+                    first = np.arange(len(found)) - bounds[doc] < _screened(size, screen)[doc]
+                    doc, found = doc[first], found[first]
+                    bounds = np.searchsorted(doc, np.arange(texts.n + 1))
                 grams = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(found.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), grams], schema=_SETS)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("row"), pa.array(size, pa.int64()), pa.array(marks, pa.binary()), grams], schema=_SETS
+                )
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n long, mark binary, grams array<long>")
+    return documents.mapInArrow(run, "doc_id long, row long, n long, mark binary, grams array<long>")
 
 
-def _sql_prefix(percent: int) -> str:
-    """How many of a set's first n-grams must hold one in common with any partner's."""
-    return f"n - (n * {percent} + 99) div 100 + 1"
+def _bucket_counts(grams: DataFrame, column: str) -> np.ndarray:
+    """How many n-grams fall into each of the 2^ORDER_BITS hash buckets: a fixed number of
+    counts, summed in every task before the shuffle."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(1 << ORDER_BITS, np.int64)
+        for batch in batches:
+            held += np.bincount(_bucket(batch.column(0).flatten()), minlength=len(held))
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], ["bucket", "c"])
+
+    counted = grams.select(column).mapInArrow(run, "bucket long, c long").groupBy("bucket").agg(F.sum("c").alias("c")).toPandas()
+    out = np.zeros(1 << ORDER_BITS, np.int64)
+    out[counted["bucket"].to_numpy(np.int64)] = counted["c"].to_numpy(np.int64)
+    return out
+
+
+def _bucket(grams: pa.Array) -> np.ndarray:
+    values = np.asarray(grams, np.int64).view(np.uint64)
+    return (mixed(values) >> np.uint64(64 - ORDER_BITS)).astype(np.int64)
+
+
+def _arranged(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(id, n, common, prefix, segments): the first n-grams of the global order, how common a
+    set's n-grams are, and its n-grams by fragment."""
+    # Fragments hold about equally many n-grams: quantiles of the order, weighed by the counts.
+    rank = np.argsort(np.lexsort((np.arange(len(counts)), counts)))
+    running = np.cumsum(np.sort(counts))
+    cuts = np.searchsorted(running, running[-1] * np.arange(1, FRAGMENTS) / FRAGMENTS)
+    shared = sets.sparkSession.sparkContext.broadcast((counts, rank, cuts))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, rank, cuts = shared.value
+        for batch in batches:
+            n = np.asarray(batch.column("n"), np.int64)
+            if not len(n):
+                continue
+            g = np.asarray(batch.column("grams").flatten(), np.int64)
+            row = np.repeat(np.arange(len(n)), n)
+            bucket = _bucket(pa.array(g))
+            common = np.bincount(row, np.log(counts[bucket]), minlength=len(n)) / n
+            order = np.lexsort((g, rank[bucket], row))
+            g, place = g[order], rank[bucket[order]]
+            ends = np.cumsum(n)
+            first = np.arange(len(g)) - (ends - n)[row] < _prefix(n, percent)[row]
+            prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(_prefix(n, percent))), pa.int32()), pa.array(g[first]))
+            held = np.bincount(row * FRAGMENTS + np.searchsorted(cuts, place, side="right"), minlength=len(n) * FRAGMENTS)
+            inner = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(held)), pa.int32()), pa.array(g))
+            segments = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * FRAGMENTS, pa.int32()), inner)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("n"), pa.array(common), prefix, segments], names=["id", "n", "common", "prefix", "segments"]
+            )
+
+    return sets.select("id", "n", "grams").mapInArrow(run, "id long, n long, common double, prefix array<long>, segments array<array<long>>")
 
 
 def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
@@ -117,57 +191,39 @@ def components(links: DataFrame) -> DataFrame:
 
 def link_classes(documents: DataFrame, n: int = N, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    sets = stored(gram_sets(documents, n), "sets")
+    rows = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("row"))
+    sets = stored(gram_sets(rows, n, screen=percent), "sets")
     classes = stored(
-        sets.where("mark is not null").groupBy("mark", "n").agg(F.min("doc_id").alias("least")).withColumn("id", F.xxhash64("mark")), "classes"
+        sets.where("mark is not null").groupBy("mark", "n").agg(F.min("doc_id").alias("least"), F.min("row").alias("row"))
+        .withColumn("id", F.xxhash64("mark")),
+        "classes",
     )
-    # One copy of the n-grams of each class. A class's first 64-bit id is its mark's hash.
-    firsts = sets.where("mark is not null").join(
-        classes.select("mark", F.col("least").alias("doc_id"), "id"), ["mark", "doc_id"]
-    ).union(sets.where("mark is not null and doc_id is null").join(classes.where("least is null").select("mark", "id"), "mark").select("mark", "doc_id", "n", "grams", "id"))
-    one = firsts.select("id", "n", "grams").dropDuplicates(["id"])
-    one = stored(one, "one")
-    # Cheap pass: in the order of hashes, partners share one of the first n-grams.
-    early = one.select("id", F.explode(F.expr(f"slice(grams, 1, int({_sql_prefix(percent)}))")).alias("gram"))
-    shared = early.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    hopeful = early.join(shared, "gram", "left_semi").select("id").distinct()
-    some = stored(one.join(hopeful, "id", "left_semi"), "hopeful")
-    # Global order of what is left: rarest first, ties by hash.
-    flat = some.select("id", "n", F.explode("grams").alias("gram"))
-    counts = flat.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    ordered = stored(
-        flat.join(counts, "gram").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("g")), "ordered"
+    # First pass: of a set's first n-grams by hash, at most n - ceil(n * percent / 100) can be
+    # missing in a partner; the others must be found in another class.
+    one = sets.where("mark is not null").join(classes.select("mark", "row", "id"), ["mark", "row"])
+    early = one.select("id", "n", F.size("grams").alias("m"), F.explode("grams").alias("gram"))
+    shared = early.select("id", "gram").groupBy("gram").agg(F.min("id").alias("_x"), F.max("id").alias("_y")).where("_x <> _y").select("gram")
+    hopeful = (
+        early.join(shared, "gram", "left_semi").groupBy("id", "n", "m").agg(F.countDistinct("gram").alias("c"))
+        .where(f"c >= greatest(m - (n - (n * {percent} + 99) div 100), 1)").select("id")
     )
-    # The order is cut into fragments at its quantiles.
-    place = lambda g: g["df"] + (g["gram"] / float(1 << 64) + 0.5)
-    shares = [i / FRAGMENTS for i in range(1, FRAGMENTS)]
-    cuts = ordered.select(F.explode("g").alias("g")).where("g.df > 1").agg(F.percentile_approx(place(F.col("g")), shares).alias("c")).first().c or []
-    ends = [float("-inf"), *cuts, *[float("inf")] * (FRAGMENTS - len(cuts))]
-
-    def segment(number: int):
-        def inside(g):
-            return (g["df"] > 1) & (place(g) >= ends[number]) & (place(g) < ends[number + 1])
-
-        return F.transform(F.filter("g", inside), lambda g: g["gram"])
-
-    segments = stored(
-        ordered.select("id", "n", F.posexplode(F.array(*map(segment, range(FRAGMENTS)))).alias("fragment", "grams"))
-        .where(F.size("grams") > 0),
-        "segments",
+    chosen = stored(classes.join(hopeful, "id", "left_semi").select("row", "id", F.col("mark").alias("_mark")), "hopeful")
+    full = gram_sets(rows.join(chosen.select("row"), "row", "left_semi"), n)
+    some = stored(
+        full.join(chosen, "row").where("mark = _mark").select("id", "n", "grams").dropDuplicates(["id"]), "some"
     )
-    common = F.aggregate("g", F.lit(0.0), lambda s, g: s + F.log(g["df"].cast("double"))) / F.col("n")
+    ordered = stored(_arranged(some, _bucket_counts(some, "grams"), percent), "ordered")
+    segments = ordered.select("id", "n", F.posexplode("segments").alias("fragment", "grams")).where(F.size("grams") > 0)
     # An n-gram of one set only is no meeting point, but it takes its place in the prefix.
-    posts = stored(
-        ordered.select("id", "n", common.alias("common"), F.explode(F.expr(f"slice(g, 1, int({_sql_prefix(percent)}))")).alias("g"))
-        .where("g.df > 1").select("id", "n", "common", F.col("g.gram").alias("gram")),
-        "posts",
-    )
+    posts = ordered.select("id", "n", "common", F.explode("prefix").alias("gram"))
+    met = posts.groupBy("gram").agg(F.min("id").alias("_x"), F.max("id").alias("_y")).where("_x <> _y").select("gram")
+    posts = stored(posts.join(met, "gram", "left_semi"), "posts")
     links = None
     labels = ordered.select("id", F.col("id").alias("component"))
     for step in range(PIVOT_ROUNDS + 1):
-        now = stored(posts.join(labels, "id"), "now")
+        now = posts.join(labels, "id")
         mixed_groups = now.groupBy("gram").agg(F.min("component").alias("_x"), F.max("component").alias("_y")).where("_x <> _y").select("gram")
-        now = now.join(mixed_groups, "gram", "left_semi")
+        now = stored(now.join(mixed_groups, "gram", "left_semi"), "now")
         if step < PIVOT_ROUNDS:
             # The pivot is a set of common n-grams; in later rounds one of the least common class.
             lead = F.struct("common", "id", "n", "component") if step % 2 == 0 else F.struct(-F.col("common"), "id", "n", "component")
