@@ -6,9 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from tidemark.workloads.checks import CHECKS
+from tidemark.workloads.queries import QUERIES
 
-QUERIES = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
 TYPES = {
     "int64": "BIGINT",
     "int32": "INTEGER",
@@ -34,6 +34,8 @@ def in_order(rows):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(CHECKS) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

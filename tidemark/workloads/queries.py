@@ -254,6 +254,7 @@ def _starts(spark, sf_dir, default):
     subs = ST.fetch_committed(
         W.committed(ranges).select(
             F.lit(GROUP).alias("group_id"),
+            F.lit(GENERATION).alias("generation"),
             *TP,
             "offset",
             "metadata",
