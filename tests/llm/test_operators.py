@@ -131,7 +131,6 @@ def test_packing_is_an_exact_round_trip(spark, sf_dir):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(packing.vocabulary())
-    encoder.encode_special_tokens = True
     docs, seqs = defaultdict(list), defaultdict(list)
     for r in queries.op8_packing(spark, sf_dir).collect():
         docs[r.doc_id].append((r.start, r.length, r.ids_crc32, r.doc_tokens))

@@ -14,8 +14,6 @@ empty table gives no pieces; other columns are ignored. Whole texts are tokenise
 from __future__ import annotations
 
 import heapq
-import os
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -24,50 +22,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
-from tidemark.llm.textkit import slices
+from tidemark.llm.tokens import pieces, vocabulary
+
+__all__ = ["LIMIT", "pack", "patterns", "pieces", "ranked", "vocabulary"]
 
 LIMIT = 2048
-END = 1
-#: Texts are handed to the tokenizer in runs of about so many bytes.
-_RUN = 1 << 20
 
-_PIECES = pa.schema(
-    [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())]
-)
+_PIECES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 _PIECE_DDL = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
-def vocabulary(name: str = "word_bpe_49k.json") -> str:
-    """Path of a public vocabulary, which is installed alike on all machines."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def pieces(documents: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
-    """One row per piece of a document's ids; ``tokenizer`` is the file's path on executors."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        encoder = Tokenizer.from_file(tokenizer)
-        encoder.encode_special_tokens = True
-        for batch in batches:
-            for part in slices(batch, "text", _RUN):
-                rows = {name: [] for name in _PIECES.names}
-                encoded = encoder.encode_batch([t or "" for t in part.column("text").to_pylist()], add_special_tokens=False)
-                for doc, code in zip(part.column("doc_id").to_pylist(), encoded):
-                    ids = np.append(np.asarray(code.ids, "<u4"), np.asarray([END], "<u4"))
-                    for start in range(0, len(ids), limit):
-                        piece = ids[start : start + limit]
-                        for name, value in zip(_PIECES.names, (doc, start, len(piece), zlib.crc32(piece.tobytes()), len(ids))):
-                            rows[name].append(value)
-                yield pa.RecordBatch.from_pydict(rows, schema=_PIECES)
-
-    return documents.select("doc_id", "text").mapInArrow(run, _PIECE_DDL)
-
-
 def patterns(histogram: dict[int, int], limit: int = LIMIT) -> list[tuple[int, int, int, int, int]]:
     """Placements (length, first rank, last rank + 1, first sequence, offset) by shortest pack
     first. Packs of one pattern have consecutive numbers, so a placement is a range of them."""
@@ -131,7 +95,7 @@ def ranked(rows: DataFrame, spread: int | None = None) -> DataFrame:
 
 def pack(documents: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
     """Every piece with its sequence and its place there."""
-    cut = stored(pieces(documents, tokenizer, limit), "pieces")
+    cut = stored(pieces(documents, tokenizer, limit).select(*_PIECES), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     placed = np.asarray(sorted(patterns(histogram, limit)), np.int64).reshape(-1, 5)
     numbered = stored(ranked(cut), "ranked")  # a rank is fixed before sequences are read off it
@@ -146,9 +110,9 @@ def pack(documents: DataFrame, tokenizer: str, limit: int = LIMIT) -> DataFrame:
                 continue
             length, rank = (np.asarray(batch.column(c), dtype=np.int64) for c in ("length", "rank"))
             at = np.searchsorted(starts, length * width + rank, side="right") - 1
-            columns = [batch.column(c) for c in _PIECES.names]
+            columns = [batch.column(c) for c in _PIECES]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(rows[at, 3] + rank - rows[at, 1]), pa.array(rows[at, 4])], names=[*_PIECES.names, "sequence_id", "offset"]
+                [*columns, pa.array(rows[at, 3] + rank - rows[at, 1]), pa.array(rows[at, 4])], names=[*_PIECES, "sequence_id", "offset"]
             )
 
-    return numbered.select(*_PIECES.names, "rank").mapInArrow(run, f"{_PIECE_DDL}, sequence_id bigint, offset bigint")
+    return numbered.select(*_PIECES, "rank").mapInArrow(run, f"{_PIECE_DDL}, sequence_id bigint, offset bigint")

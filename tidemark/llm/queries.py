@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import chats, jaccard, language, mixing, packing, personal, quality, secrets, topk, toxicity
+from tidemark.llm import bestfit, chats, jaccard, language, mixing, packing, personal, quality, secrets, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op13_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack(table(spark, sf_dir, "documents"), bestfit.vocabulary())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
@@ -67,5 +71,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op13_bestfit_packing": op13_bestfit_packing,
     "pipeline": corpus_pipeline.run,
 }
