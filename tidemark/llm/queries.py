@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bestfit, chats, jaccard, language, mixing, packing, personal, quality, secrets, spelling, topk, toxicity
+from tidemark.llm import bestfit, chats, jaccard, language, mixing, packing, personal, prefix_trie, quality, secrets, spelling, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.groups(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_language_id": op9_language_id,
     "op10_toxicity": op10_toxicity,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_bestfit_packing": op13_bestfit_packing,
     "pipeline": corpus_pipeline.run,
