@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.model import partition_rule
 from tidemark import schemas as S
-from tidemark.operators import commit as C
+from tidemark.operators.commit_log import CommitLog
 from tidemark.operators import start as ST
 from tidemark.options import GroupOptions
 from tidemark.schemas import TP
@@ -64,7 +64,7 @@ def test_commits_follow_the_handler(spark, tmp_path):
 
     def committed():
         subs = spark.createDataFrame([("t", 0), ("t", 1)], S.CATALOG)
-        rows = ST.fetch_committed(C.read_commits(spark, commits), subs, "g").collect()
+        rows = ST.fetch_committed(CommitLog(commits).valid(spark), subs, "g").collect()
         return {r.partition: (r.offset, r.metadata) for r in rows}
 
     def fails(batch, batch_id):

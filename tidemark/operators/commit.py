@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.progress import dirty
 from tidemark.plans.bounded import settle
-from tidemark.schemas import COMMITS, TP
+from tidemark.schemas import COMMIT_LOG, TP
+
+#: Writer of batches whose caller names none.
+DEFAULT_WRITER = "default"
 
 
 def commit_rows(
@@ -33,23 +38,24 @@ def commit_rows(
     )
 
 
-def write_commits(rows: DataFrame, path: str) -> None:
-    """Store commit records under their (group_id, batch_id).
+def write_commits(rows: DataFrame, path: str, writer: str | None = None) -> None:
+    """Store commit records under their (group_id, member_id, writer, batch_id).
 
-    Writing the same batch again replaces it, so a repeated attempt leaves one copy.
-    Without rows nothing is stored.
+    Only the same writer's same batch is replaced, so a repeated attempt leaves one copy and
+    members, or two runs of one member, never erase each other. Without rows nothing is stored.
     """
     (
-        rows.write.mode("overwrite")
+        rows.withColumn("writer", F.lit(writer or DEFAULT_WRITER))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("group_id", "batch_id")
+        .partitionBy("group_id", "member_id", "writer", "batch_id")
         .parquet(path)
     )
 
 
 def read_commits(spark, path: str) -> DataFrame:
     """Stored commit records; a group filter prunes the folders of other groups."""
-    return spark.read.schema(COMMITS).parquet(path)
+    return spark.read.schema(COMMIT_LOG).parquet(path)
 
 
 def commit_offsets(
@@ -59,11 +65,17 @@ def commit_offsets(
     member_id: str,
     generation: int,
     retention_ms: int = -1,
-    batch_id: int = 0,
+    batch_id: int | None = None,
+    writer: str | None = None,
 ) -> DataFrame:
-    """Write the dirty topic-partitions and return what was written as commit results."""
+    """Write the dirty topic-partitions and return what was written as commit results.
+
+    Without ``batch_id`` every call is a batch of its own, of a writer of its own.
+    """
+    if batch_id is None:
+        batch_id, writer = 0, writer or uuid.uuid4().hex
     rows = commit_rows(state, group_id, member_id, generation, retention_ms, batch_id)
-    write_commits(rows, path)
+    write_commits(rows, path, writer)
     return commit_results(rows)
 
 

@@ -57,6 +57,12 @@ def initial_state(subs: DataFrame, committed: DataFrame | None = None) -> DataFr
     )
 
 
+def with_admitted(state: DataFrame, rows: DataFrame) -> DataFrame:
+    """A state that also has the topic-partitions of ``rows``: new ones at -1."""
+    fresh = rows.select(*TP).distinct().join(settle(state.select(*TP)).df, TP, "left_anti")
+    return state.unionByName(initial_state(fresh))
+
+
 def state_from_starts(starts: DataFrame) -> DataFrame:
     """Clean state of topic-partitions whose start was resolved."""
     return starts.select(

@@ -30,14 +30,22 @@ def latest_commits(commits: DataFrame, group_id: str | None = None) -> DataFrame
     """The newest commit of each topic-partition of each group (or of one group)."""
     if group_id is not None:
         commits = commits.where(F.col("group_id") == group_id)
-    return _newest(commits).select("group_id", *TP, "offset", "metadata")
+    return newest_commits(commits).select("group_id", *TP, "offset", "metadata")
 
 
-def _newest(commits: DataFrame) -> DataFrame:
-    """The newest commit with its retention; ties go to the later generation, then offset."""
-    kept = F.struct("offset", "metadata", "committed_at", "retention_ms")
-    newest = F.max_by(kept, F.struct("committed_at", "batch_id", "generation", "offset"))
-    return commits.groupBy("group_id", *TP).agg(newest.alias("c")).select("group_id", *TP, "c.*")
+def newest_commits(commits: DataFrame) -> DataFrame:
+    """The newest commit record per group and topic-partition; ties go to the later batch, then
+    generation, then offset.
+
+    The newest time is a number, so it is found by a hash aggregation with one row per group and
+    topic-partition. Only the records at that time, usually one each, are then compared in full.
+    """
+    key = ["group_id", *TP]
+    times = settle(commits.groupBy(*key).agg(F.max("committed_at").alias("__newest"))).df
+    alike = commits.join(times, key).where(F.col("committed_at").eqNullSafe(F.col("__newest")))
+    rest = [c for c in commits.columns if c not in key]
+    last = F.max_by(F.struct(*rest), F.struct("batch_id", "generation", "offset"))
+    return alike.groupBy(*key).agg(last.alias("c")).select(*key, "c.*").select(commits.columns)
 
 
 def fetch_committed(
@@ -51,7 +59,7 @@ def fetch_committed(
     Without a commit the offset is -1 and the metadata empty. So it is where the newest
     commit's own retention ended before ``retained_after``; older commits do not come back.
     """
-    newest = _newest(commits.where(F.col("group_id") == group_id))
+    newest = newest_commits(commits.where(F.col("group_id") == group_id))
     if retained_after is not None:
         ends = F.timestamp_millis(F.unix_millis("committed_at") + F.col("retention_ms"))
         newest = newest.where((F.col("retention_ms") < 0) | (ends >= F.lit(retained_after)))

@@ -30,3 +30,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a file or folder at ``path``, in whatever store Spark reads it from?"""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def numbered(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers ``n`` of the finished tables ``path``/``name``=n, ascending."""
+    jvm = spark._jvm
+    done = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}=*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done) or []
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)

@@ -35,6 +35,9 @@ COMMITS = (
     "group_id string, member_id string, generation int, topic string, partition int, "
     "offset bigint, metadata string, retention_ms bigint, committed_at timestamp, batch_id bigint"
 )
+#: Commits as stored: the writer says which attempts replace each other.
+COMMIT_LOG = f"{COMMITS}, writer string"
+GENERATIONS = "group_id string, generation int, member_id string, opened_at timestamp"
 COMMIT_RESULTS = "topic string, partition int, offset bigint, error string"
 STARTS = (
     "topic string, partition int, state_offset bigint, metadata string, "

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import time
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.commit import commit_results, commit_rows, write_commits
-from tidemark.operators.progress import MARK, apply_commands, mark_committed
+from tidemark.operators.commit import commit_rows, error_rows
+from tidemark.operators.commit_log import CommitLog, CommitOutcome
+from tidemark.operators.progress import MARK, apply_commands, mark_committed, with_admitted
+from tidemark.operators.topics import not_subscribed
 from tidemark.options import GroupOptions
 from tidemark.schemas import TP
 from tidemark.streaming.versions import (
@@ -23,6 +27,8 @@ from tidemark.streaming.versions import (
 
 log = logging.getLogger(__name__)
 
+_COMMAND = ["seq", *TP, "op", "offset", "metadata"]
+
 BatchHandler = Callable[[DataFrame, int], DataFrame | None]
 
 
@@ -50,17 +56,22 @@ def track_offsets(
     checkpoint: str,
     rule: str = "partition",
     trigger: dict | None = None,
+    admit: bool = False,
 ) -> StreamingQuery:
     """Apply a stream of marks and resets; versions of the state are written to ``path``.
 
     Inside a micro-batch commands are applied in ``seq`` order, across micro-batches in
-    the order of arrival. ``initial`` is the state before the first command.
+    the order of arrival. ``initial`` is the state before the first command. With ``admit``
+    topic-partitions that the state does not have join it at -1 with their first command.
     """
-
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             before = previous_version(initial, path, batch_id)
+            if admit:
+                before = write_version(
+                    with_admitted(before, batch), f"{path.rstrip('/')}-admitted", batch_id
+                )
             write_version(apply_commands(before, batch, rule), path, batch_id)
         finally:
             batch.unpersist()
@@ -87,11 +98,17 @@ def marks_of(messages: DataFrame, metadata: str = "") -> DataFrame:
     )
 
 
-def commit_with_retry(commit: Callable[[], None], retries: int, pause: float = 0.1) -> None:
-    """Run ``commit``, again up to ``retries`` times if it fails; the last failure is raised."""
+def commit_with_retry(commit: Callable[[], CommitOutcome], retries: int, pause: float = 0.1):
+    """Run ``commit``, again up to ``retries`` times if it fails; the last failure is raised.
+
+    What another attempt cannot mend (a query that does not fit the tables, a wrong argument)
+    is raised at once.
+    """
     for attempt in range(retries + 1):
         try:
             return commit()
+        except (AnalysisException, TypeError, ValueError):
+            raise
         except Exception as error:
             if attempt == retries:
                 raise
@@ -99,6 +116,11 @@ def commit_with_retry(commit: Callable[[], None], retries: int, pause: float = 0
             time.sleep(pause)
 
 
+def writer_of(checkpoint: str) -> str:
+    """Name of a streaming query as a writer of commits: the same after each restart."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
 def auto_commit(
     messages: DataFrame,
     handler: BatchHandler,
@@ -111,29 +133,52 @@ def auto_commit(
     checkpoint: str,
     commit_every: int = 1,
     trigger: dict | None = None,
+    admit: bool = False,
 ) -> StreamingQuery:
     """Process a stream and commit what was processed.
 
     ``handler(batch, batch_id)`` does the work and returns commands; ``None`` marks every
-    message of the batch. Offsets are committed only after the handler has returned, so a
-    failing handler commits nothing. The commit runs with every ``commit_every``-th
-    micro-batch; call :func:`release` after the stream has ended to commit the rest.
+    message of the batch. Its commands are written down once and folded from there, so the
+    handler's work is not repeated. Offsets are committed only after it, so a failing handler
+    commits nothing. The commit runs with every ``commit_every``-th micro-batch; call
+    :func:`release` after the stream has ended to commit the rest.
+
+    Commits go to the :class:`CommitLog` at ``commits_path``. Refused ones leave their
+    topic-partitions dirty. With ``options.return_errors`` commands outside the subscription and
+    refused commits are stored as error rows, one version per micro-batch at
+    ``state_path``-errors. With ``admit`` topic-partitions that the state does not have yet join
+    it at -1 when their first message arrives.
     """
+    at, writer = state_path.rstrip("/"), writer_of(checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             commands = handler(batch, batch_id)
-            if commands is None:
-                commands = marks_of(batch)
+            commands = write_version(
+                (marks_of(batch) if commands is None else commands).select(*_COMMAND),
+                f"{at}-commands",
+                batch_id,
+            )
             before = previous_version(initial, state_path, batch_id)
+            if admit:
+                before = write_version(with_admitted(before, batch), f"{at}-admitted", batch_id)
             folded = apply_commands(before, commands)
+            refused = None
             if (batch_id + 1) % commit_every:
                 write_version(folded, state_path, batch_id)
-                return
-            pending = write_version(folded, f"{state_path.rstrip('/')}-pending", batch_id)
-            after = _commit(pending, options, member_id, generation, commits_path, batch_id)
-            write_version(after, state_path, batch_id)
+            else:
+                pending = write_version(folded, f"{at}-pending", batch_id)
+                outcome = _commit(
+                    pending, options, member_id, generation, commits_path, batch_id, writer
+                )
+                write_version(mark_committed(pending, outcome.results), state_path, batch_id)
+                refused = outcome.errors
+            if options.return_errors:
+                why = F.concat(F.lit("not subscribed: "), "op")
+                errors = error_rows(not_subscribed(commands, before), "mark", why)
+                errors = errors if refused is None else errors.unionByName(refused)
+                write_version(errors, f"{at}-errors", batch_id)
         finally:
             batch.unpersist()
 
@@ -148,12 +193,14 @@ def _commit(
     generation: int,
     commits_path: str,
     batch_id: int,
-) -> DataFrame:
+    writer: str,
+) -> CommitOutcome:
     rows = commit_rows(
         state, options.group_id, member_id, generation, options.retention_ms, batch_id
     )
-    commit_with_retry(lambda: write_commits(rows, commits_path), options.commit_retries)
-    return mark_committed(state, commit_results(rows))
+    return commit_with_retry(
+        lambda: CommitLog(commits_path).write(rows, writer), options.commit_retries
+    )
 
 
 def release(
@@ -164,7 +211,13 @@ def release(
     state_path: str,
     commits_path: str,
 ) -> DataFrame:
-    """Commit what is still dirty in the newest state and return the state after it."""
-    batch_id = last_batch(spark, state_path)
-    state = current_version(spark, state_path)
-    return _commit(state, options, member_id, generation, commits_path, batch_id)
+    """Commit what is still dirty in the newest state; store and return the state after it.
+
+    It is a batch of a writer of its own, so it replaces no commit of the stream, and a stream
+    that starts again goes on from the stored state.
+    """
+    at, batch_id = state_path.rstrip("/"), last_batch(spark, state_path)
+    pending = write_version(current_version(spark, state_path), f"{at}-pending", batch_id)
+    writer = f"release-{writer_of(state_path)}"
+    outcome = _commit(pending, options, member_id, generation, commits_path, batch_id, writer)
+    return write_version(mark_committed(pending, outcome.results), state_path, batch_id)

@@ -36,6 +36,11 @@ def last_batch(spark: SparkSession, path: str) -> int:
     return spark.read.parquet(path).agg(F.max(VERSION).cast("bigint")).first()[0]
 
 
+def all_versions(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all versions together, for tables that get new rows with each version."""
+    return spark.read.parquet(path).drop(VERSION)
+
+
 def current_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest version."""
     return spark.read.parquet(version_path(path, last_batch(spark, path)))

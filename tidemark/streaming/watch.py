@@ -1,17 +1,15 @@
-"""Streams of new topics, of deliveries without repeats, and resumed reads."""
+"""Streams of new topics, and of deliveries without repeats."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.start import fetch_committed, resolve_start
 from tidemark.operators.topics import may_be_extra
 from tidemark.plans.bounded import settle
-from tidemark.schemas import TOPIC_LOG, TP
-from tidemark.sources.topic_log import read_topics
+from tidemark.schemas import TP
 
 
 def watch_topics(
@@ -43,23 +41,3 @@ def dedup_deliveries(
     if ttl is None:
         return stream.dropDuplicates(key)
     return stream.withWatermark(event_time, ttl).dropDuplicatesWithinWatermark(key)
-
-
-def resume_stream(
-    spark: SparkSession,
-    source: str,
-    topics: DataFrame | Sequence[str],
-    bounds: DataFrame,
-    commits: DataFrame,
-    group_id: str,
-    default: str = "newest",
-    schema=TOPIC_LOG,
-    max_files: int | None = None,
-) -> DataFrame:
-    """Stream of a log from a group's committed positions.
-
-    The positions count on the first start of a query; after that its checkpoint knows
-    what has been read.
-    """
-    starts = resolve_start(fetch_committed(commits, bounds, group_id), bounds, default)
-    return read_topics(spark, source, topics, starts, True, schema, max_files)

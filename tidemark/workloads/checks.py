@@ -55,6 +55,32 @@ VIEWS = {
           SELECT * FROM commands WHERE op = 'mark'
           QUALIFY row_number() OVER (PARTITION BY topic, part ORDER BY off DESC, seq) = 1
         ) m ON m.topic = s.topic AND m.part = s.part""",
+    "growing_events": """
+        SELECT CASE WHEN event_id * 3 >= 2 * n AND user_id % 5 = 0 THEN concat('late-', event_type)
+                    ELSE event_type END AS topic,
+               CAST(user_id % 4 + CASE WHEN event_id * 3 >= n AND user_id % 7 = 0 THEN 4 ELSE 0 END
+                    AS INT) AS part,
+               event_id, event_id * 3 < n AS early
+        FROM events, (SELECT max(event_id) + 1 AS n FROM events)""",
+    "growing": """
+        SELECT topic, part, event_id, early,
+               CAST(row_number() OVER (PARTITION BY topic, part ORDER BY event_id) - 1 AS BIGINT)
+                 AS off
+        FROM growing_events
+        WHERE topic IN ('click', 'gone')
+           OR (regexp_matches(topic, 'e') AND NOT regexp_matches(topic, '^v'))""",
+    "growing_starts": """
+        SELECT topic, part, CASE WHEN part = 0 THEN CAST(floor((max(off) + 1) / 2) AS BIGINT)
+                                 ELSE max(off) + 1 END AS resolved_offset,
+               CASE WHEN part = 0 THEN 'committed' ELSE 'default' END AS how
+        FROM growing WHERE early GROUP BY topic, part""",
+    "commit_attempts": """
+        SELECT concat('m', CAST(key_id % 3 AS VARCHAR)) AS member_id,
+               CAST(CASE WHEN key_id % 3 = 1 THEN 2 ELSE 3 END AS INT) AS generation,
+               CAST(floor(event_id * 10 / (SELECT max(event_id) + 1 FROM events)) AS BIGINT)
+                 AS batch_id,
+               topic, part, max(off) + 1 AS off, max(ts) AS committed_at
+        FROM topic_log GROUP BY ALL""",
     "wide_catalog": "SELECT DISTINCT event_type AS topic, CAST(user_id AS INT) AS part FROM events",
     "days": """
         SELECT CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS INT) AS generation,
@@ -438,6 +464,34 @@ _BODIES = {
     "stream_rebalance": "SELECT generation, member_id, type, change, topic, part FROM history",
     "stream_dedup": "SELECT DISTINCT topic, part, off FROM deliveries",
     "stream_resume": _RESUMED,
+    "stream_resume_restarts": """
+        SELECT g.topic, g.part, g.off, g.event_id
+        FROM growing g LEFT JOIN growing_starts s ON s.topic = g.topic AND s.part = g.part
+        WHERE s.topic IS NULL OR g.off >= s.resolved_offset""",
+    "stream_admission": """
+        SELECT topic, part, resolved_offset, how FROM growing_starts
+        UNION ALL
+        SELECT topic, part, CAST(0 AS BIGINT), 'admitted' FROM growing g
+        WHERE NOT EXISTS (SELECT 1 FROM growing_starts s WHERE s.topic = g.topic AND s.part = g.part)
+        GROUP BY topic, part""",
+    "stream_admitted_marks": """
+        SELECT topic, part, count(*) AS off, '' AS metadata, TRUE AS dirty
+        FROM growing_events GROUP BY topic, part""",
+    "member_commits": """
+        SELECT member_id, batch_id, generation, topic, part, off,
+               concat(member_id, '/', CAST(batch_id AS VARCHAR)) AS metadata
+        FROM commit_attempts WHERE member_id = 'm0'""",
+    "refused_commits": """
+        SELECT 'commit' AS ctx, topic, part, off,
+               CASE WHEN member_id = 'm1' THEN 'illegal generation' ELSE 'unknown member' END
+                 AS message
+        FROM commit_attempts WHERE member_id <> 'm0'""",
+    "compacted_commits": """
+        SELECT 'g1' AS group_id, topic, part, off,
+               concat(member_id, '/', CAST(batch_id AS VARCHAR)) AS metadata
+        FROM commit_attempts WHERE generation = 3
+        QUALIFY row_number() OVER (PARTITION BY topic, part
+                                   ORDER BY committed_at DESC, batch_id DESC, off DESC) = 1""",
 }
 
 _BODIES["mixed_fold_sliced"] = _BODIES["mixed_fold"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as fn
 from tidemark.operators import assign as A
 from tidemark.operators import commit as C
+from tidemark.operators.commit_log import CommitLog
 from tidemark.operators import delivery as D
 from tidemark.operators import progress as P
 from tidemark.operators import rebalance as R
@@ -23,7 +24,7 @@ from tidemark.plans.ordering import slice_count, split_points, with_position
 from tidemark.plans.scratch import scratch_path
 from tidemark.schemas import TP
 from tidemark.sources.topic_log import as_topic_log, merge_streams, read_topics, write_topic_log
-from tidemark.streaming import notifications, tracker, versions, watch
+from tidemark.streaming import admission, notifications, tracker, versions, watch
 from tidemark.workloads import tables as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -645,7 +646,7 @@ def stream_auto_commit(spark, sf_dir):
         )
 
     _replay(log, "event_id", start)
-    return out(ST.latest_commits(C.read_commits(spark, commits)))
+    return out(ST.latest_commits(CommitLog(commits).valid(spark)))
 
 
 @query
@@ -702,11 +703,144 @@ def stream_dedup(spark, sf_dir):
 def stream_resume(spark, sf_dir):
     log = W.stored_log(spark, sf_dir)
     sink, checkpoint = scratch_path(spark, "resumed"), scratch_path(spark, "checkpoint")
-    topics = TO.select_topics(TO.catalog(log), CORE, WHITELIST, BLACKLIST)
-    path = W.stored_log_path(spark, sf_dir)
-    ranges = W.small(ST.log_bounds(log))
-    stream = watch.resume_stream(
-        spark, path, topics, ranges, W.commits(log), GROUP, "oldest", schema=log.schema
+    options = GroupOptions(group_id=GROUP, initial="oldest", whitelist=WHITELIST, blacklist=BLACKLIST)
+    stream = admission.resume_stream(
+        spark,
+        W.stored_log_path(spark, sf_dir),
+        CORE,
+        options,
+        W.small(ST.log_bounds(log)),
+        W.commits(log),
+        scratch_path(spark, "starts"),
+        schema=log.schema,
     )
     _to_table(sink)(stream, checkpoint).awaitTermination()
     return out(spark.read.schema(log.schema).parquet(sink).select(*TP, "offset", "event_id"))
+
+
+def _grow(spark, sf_dir, start: Callable) -> None:
+    """Append the growing log by thirds to one folder, as a partitioned table. After each part
+    run ``start(path, log of what is there, checkpoint)`` until it is caught up."""
+    log, n = W.growing_log(spark, sf_dir), W.event_count(spark, sf_dir)
+    path, checkpoint = scratch_path(spark, "growing"), scratch_path(spark, "checkpoint")
+    stored = W.small(log)
+    for part in range(3):
+        third = (F.col("event_id") * 3 >= part * n) & (F.col("event_id") * 3 < (part + 1) * n)
+        write_topic_log(stored.where(third), path, mode="append")
+        here = spark.read.schema(log.schema).parquet(path).select(*log.columns)
+        start(path, here, checkpoint).awaitTermination()
+
+
+def _half_commits(bounds: DataFrame) -> DataFrame:
+    """The group has committed half of partition 0 of every topic, and nothing else."""
+    return bounds.where("partition = 0").select(
+        F.lit(GROUP).alias("group_id"),
+        F.lit(GENERATION).alias("generation"),
+        *TP,
+        F.floor(F.col("newest") / 2).alias("offset"),
+        F.lit("").alias("metadata"),
+        F.lit(-1).cast("bigint").alias("retention_ms"),
+        F.lit(0).alias("committed_at"),
+        F.lit(0).alias("batch_id"),
+    )
+
+
+@query
+def stream_resume_restarts(spark, sf_dir):
+    """A read that starts at the newest message and is stopped and started twice. Partitions and
+    topics appear in between; bounds and commits move on, and must not count again."""
+    sink, starts = scratch_path(spark, "resumed"), scratch_path(spark, "starts")
+    options = GroupOptions(group_id=GROUP, initial="newest", whitelist=WHITELIST, blacklist=BLACKLIST)
+
+    def start(path: str, here: DataFrame, checkpoint: str):
+        ranges = W.small(ST.log_bounds(here))
+        stream = admission.resume_stream(
+            spark, path, CORE, options, ranges, _half_commits(ranges), starts, schema=here.schema
+        )
+        return _to_table(sink)(stream, checkpoint)
+
+    _grow(spark, sf_dir, start)
+    return out(spark.read.schema("topic string, partition int, offset bigint, event_id bigint").parquet(sink))
+
+
+@query
+def stream_admission(spark, sf_dir):
+    """Start positions that grow by what appears while the read runs."""
+    path = scratch_path(spark, "admitted")
+    options = GroupOptions(group_id=GROUP, initial="newest", whitelist=WHITELIST, blacklist=BLACKLIST)
+
+    def start(source: str, here: DataFrame, checkpoint: str):
+        ranges = W.small(ST.log_bounds(here))
+        starts = admission.stored_starts(spark, path, ranges, _half_commits(ranges), GROUP, "newest")
+        messages = admission.discovered(spark, source, CORE, options, here.schema)
+        known = starts.where(admission.subscribed(F.col("topic"), CORE, options))
+        return admission.run_admitting(
+            messages, path, known, lambda *_: None, checkpoint, {"availableNow": True}
+        )
+
+    _grow(spark, sf_dir, start)
+    grown = versions.current_version(spark, f"{path}/starts")
+    return out(grown.select(*TP, "resolved_offset", "how"))
+
+
+@query
+def stream_admitted_marks(spark, sf_dir):
+    """Progress of a stream whose partitions were all unknown at first."""
+    nothing = spark.createDataFrame([], "topic string, partition int, offset bigint, metadata string, dirty boolean")
+    state = scratch_path(spark, "offset-state")
+
+    def start(source: str, here: DataFrame, checkpoint: str):
+        log = spark.readStream.schema(here.schema).parquet(source)
+        marks = log.select(
+            F.col("event_id").alias("seq"), *TP, F.lit(P.MARK).alias("op"), "offset", F.lit("").alias("metadata")
+        )
+        return tracker.track_offsets(marks, nothing, state, checkpoint, admit=True)
+
+    _grow(spark, sf_dir, start)
+    return out(versions.current_version(spark, state))
+
+
+# --- commit log --------------------------------------------------------------
+
+
+def _member_commits(spark, sf_dir) -> tuple[CommitLog, DataFrame]:
+    """A commit log to which three members wrote, and the error rows. Two batches come twice."""
+    log = CommitLog(scratch_path(spark, "commit-log"))
+    rows = W.attempts(W.stored_log(spark, sf_dir), W.event_count(spark, sf_dir))
+    rows = settle(rows.withColumn("group_id", F.lit(GROUP))).rows
+    registry = [(GROUP, 2, "m0"), (GROUP, 2, "m1"), (GROUP, 3, "m0"), (GROUP, 3, "m1")]
+    members = spark.createDataFrame(registry, "group_id string, generation int, member_id string")
+    log.open_generation(members, F.to_timestamp(F.lit("2000-01-01 00:00:00")))
+    errors = []
+    for part in ("batch_id < 4", "batch_id >= 4", "batch_id in (2, 5)"):
+        for member in ("m0", "m1", "m2"):
+            mine = rows.where(part).where(F.col("member_id") == member)
+            again = log.write(mine, f"run-of-{member}")
+            if "in" not in part:
+                errors.append(again.errors)
+    return log, C.errors_of(*errors)
+
+
+@query
+def member_commits(spark, sf_dir):
+    """What is stored: batches of equal number of other members stay, repeats leave one copy."""
+    log, _ = _member_commits(spark, sf_dir)
+    return out(log.commits(spark).select("member_id", "batch_id", "generation", *TP, "offset", "metadata"))
+
+
+@query
+def refused_commits(spark, sf_dir):
+    _, errors = _member_commits(spark, sf_dir)
+    return out(errors)
+
+
+@query
+def compacted_commits(spark, sf_dir):
+    """Newest commits, read from a snapshot and the epochs after it."""
+    log = CommitLog(scratch_path(spark, "commit-log"))
+    rows = W.attempts(W.stored_log(spark, sf_dir), W.event_count(spark, sf_dir))
+    rows = settle(rows.where("generation = 3").withColumn("group_id", F.lit(GROUP))).rows
+    for low in (0, 3, 5, 8):
+        log.write(rows.where(f"batch_id >= {low} and batch_id < {low} + 3"), f"run-{low}")
+        log.compact(spark)
+    return out(ST.latest_commits(log.valid(spark), GROUP))

@@ -73,6 +73,45 @@ def stored_log_path(spark: SparkSession, sf_dir: str) -> str:
     return _STORED.paths[(spark.sparkContext.applicationId, sf_dir)][0]
 
 
+def event_count(spark: SparkSession, sf_dir: str) -> int:
+    """One more than the largest event number."""
+    return (table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] or 0) + 1
+
+
+def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a log in which partitions appear after a third of the events and topics after
+    two thirds."""
+    events, n = table(spark, sf_dir, "events"), event_count(spark, sf_dir)
+    third = F.col("event_id") * 3
+    late_topic = (third >= 2 * n) & (F.col("user_id") % 5 == 0)
+    late_partition = (third >= n) & (F.col("user_id") % 7 == 0)
+    log = as_topic_log(
+        events,
+        topic=F.when(late_topic, F.concat(F.lit("late-"), "event_type")).otherwise(F.col("event_type")),
+        partition=F.pmod("user_id", F.lit(LOG_PARTITIONS)) + F.when(late_partition, LOG_PARTITIONS).otherwise(0),
+        order=["event_id"],
+    )
+    return log.select(*TP, "offset", "event_id")
+
+
+def attempts(log: DataFrame, n: int) -> DataFrame:
+    """Commit attempts of three members in ten batches each, with equal batch numbers. One member
+    is still in an older generation, and one belongs to none."""
+    member = (F.col("key_id") % 3).cast("int")
+    batch = F.floor(F.col("event_id") * 10 / n).cast("bigint")
+    return (
+        log.groupBy(
+            F.concat(F.lit("m"), member.cast("string")).alias("member_id"),
+            F.when(member == 1, 2).otherwise(3).cast("int").alias("generation"),
+            batch.alias("batch_id"),
+            *TP,
+        )
+        .agg((F.max("offset") + 1).alias("offset"), F.max("ts").alias("committed_at"))
+        .withColumn("metadata", F.concat("member_id", F.lit("/"), F.col("batch_id").cast("string")))
+        .withColumn("retention_ms", F.lit(-1).cast("bigint"))
+    )
+
+
 def bounds(log: DataFrame) -> DataFrame:
     """Retained range: partition 0 has lost its first offsets."""
     lost = F.when(F.col("partition") == 0, F.lit(LOST_OFFSETS)).otherwise(0).cast("bigint")
