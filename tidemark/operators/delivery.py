@@ -44,6 +44,7 @@ def for_each_partition(
     carry: Mapping[str, Column] | None = None,
     split: bool = False,
     slices: int | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Hand each topic-partition to ``handler`` as its own stream, ordered by offset.
 
@@ -51,7 +52,8 @@ def for_each_partition(
     Without ``split`` a topic-partition is one stream in one task, as a handler with state
     of its own needs. With ``split`` it arrives as contiguous segments that run in separate
     tasks, so one large topic-partition does not bind the job to one executor; ``carry``
-    names sums over the messages, and each segment starts with their values so far.
+    names sums over the messages, and each segment starts with their values so far. ``before``
+    has values per topic-partition that these sums go on from.
     """
     carry = dict(carry or {})
     if carry and not split:
@@ -64,7 +66,7 @@ def for_each_partition(
     if split:
         width = slices or shuffle_width(df)
         points = split_points(rows, ["offset"], width, 1 if slices else ROWS_PER_SLICE)
-        rows = _with_entries(Slices(["offset"], points).add(rows), carry)
+        rows = _with_entries(Slices(["offset"], points).add(rows), carry, before)
     else:
         rows = rows.withColumn(SLICE, F.lit(0))
     # A literal segment number must not become a partitioning key: it is constant.
@@ -106,7 +108,9 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, pd.DataFra
             yield tuple(piece[n].iloc[0] for n in names), piece
 
 
-def _with_entries(rows: DataFrame, carry: Mapping[str, Column]) -> DataFrame:
+def _with_entries(
+    rows: DataFrame, carry: Mapping[str, Column], before: DataFrame | None = None
+) -> DataFrame:
     """Attach to each segment the carried sums of the segments before it."""
     if not carry:
         return rows
@@ -117,6 +121,13 @@ def _with_entries(rows: DataFrame, carry: Mapping[str, Column]) -> DataFrame:
         SLICE,
         *(F.coalesce(F.sum(f"__s_{n}").over(earlier), F.lit(0)).alias(f"__e_{n}") for n in carry),
     )
+    if before is not None:
+        past = before.select(*TP, *(F.col(n).alias(f"__p_{n}") for n in carry))
+        entries = entries.join(past, TP, "left").select(
+            *TP,
+            SLICE,
+            *((F.col(f"__e_{n}") + F.coalesce(f"__p_{n}", F.lit(0))).alias(f"__e_{n}") for n in carry),
+        )
     return rows.join(settle(entries).df, [*TP, SLICE])
 
 

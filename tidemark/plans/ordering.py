@@ -234,3 +234,25 @@ def with_previous(
     return local.join(_side(bases, group), cells).select(
         *df.columns, F.coalesce("__local", "__before").alias(name)
     )
+
+
+def with_reach(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str = "reach",
+    slices: int | None = None,
+) -> DataFrame:
+    """Largest ``value`` of the rows before, along ``order`` inside ``group``; null at the first."""
+    group, order = list(group), list(order)
+    keyed = with_slices(df, order, slices)
+    cells = [*group, SLICE]
+    earlier = W.partitionBy(*group).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
+    tops = keyed.groupBy(*cells).agg(F.max(value).alias("__top"))
+    bases = tops.select(*cells, F.max("__top").over(earlier).alias("__before"))
+    inside = W.partitionBy(*cells).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    local = keyed.withColumn("__local", F.max(value).over(inside))
+    return local.join(_side(bases, group), cells).select(
+        *df.columns, F.greatest("__before", "__local").alias(name)
+    )

@@ -496,6 +496,10 @@ _BODIES = {
 
 _BODIES["mixed_fold_sliced"] = _BODIES["mixed_fold"]
 _BODIES["group_read"] = _RESUMED
+_BODIES["stream_dedup_intervals"] = _BODIES["stream_dedup"]
+_BODIES["zoned_read"] = _BODIES["resume_scan"]
+_BODIES["zoned_ranges"] = _BODIES["log_ranges"]
+_BODIES["stream_partitioned_read"] = _BODIES["partitioned_read"]
 _BODIES["stash_fold_sliced"] = _BODIES["stash_fold"]
 
 CHECKS = {name: _check(body) for name, body in _BODIES.items()}

@@ -24,7 +24,8 @@ from tidemark.plans.ordering import slice_count, split_points, with_position
 from tidemark.plans.scratch import scratch_path
 from tidemark.schemas import TP
 from tidemark.sources.topic_log import as_topic_log, merge_streams, read_topics, write_topic_log
-from tidemark.streaming import admission, notifications, tracker, versions, watch
+from tidemark.sources import zones as Z
+from tidemark.streaming import admission, notifications, partitions, seen, tracker, versions, watch
 from tidemark.workloads import tables as W
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,13 +103,17 @@ def _running(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator
         count, cents = count + len(batch), cents + int(amounts.sum())
 
 
+_RUNNING = "topic string, partition int, offset bigint, running_count bigint, running_cents bigint"
+
+
+def _carried() -> dict:
+    return {"count": F.lit(1), "cents": F.round(F.col("amount") * 100).cast("bigint")}
+
+
 @query
 def partitioned_read(spark, sf_dir):
     log = W.stored_log(spark, sf_dir).select(*TP, "offset", "amount")
-    cents = F.round(F.col("amount") * 100).cast("bigint")
-    schema = "topic string, partition int, offset bigint, running_count bigint, running_cents bigint"
-    carry = {"count": F.lit(1), "cents": cents}
-    return out(D.for_each_partition(log, _running, schema, carry=carry, split=True))
+    return out(D.for_each_partition(log, _running, _RUNNING, carry=_carried(), split=True))
 
 
 def _extent(info: D.PartitionInfo, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -800,6 +805,57 @@ def stream_admitted_marks(spark, sf_dir):
     return out(versions.current_version(spark, state))
 
 
+@query
+def stream_dedup_intervals(spark, sf_dir):
+    """The same deliveries, remembered as intervals of offsets."""
+    path = scratch_path(spark, "deduplicated")
+    sent = W.deliveries(W.stored_log(spark, sf_dir))
+    # The replay goes along a scrambled order, so that there are gaps to remember.
+    mixed = sent.withColumn("place", F.col("offset") * 7919 % 1009)
+    _replay(mixed, "place", lambda s, cp: seen.dedup_by_intervals(s, path, cp))
+    return out(versions.all_versions(spark, f"{path}/messages").select(*TP, "offset"))
+
+
+@query
+def stream_partitioned_read(spark, sf_dir):
+    """Running sum per topic-partition, by a handler, over several micro-batches."""
+    path = scratch_path(spark, "partition-streams")
+    log = W.stored_log(spark, sf_dir).select(*TP, "offset", "amount", "event_id")
+
+    def start(stream: DataFrame, checkpoint: str):
+        return partitions.run_partitions(stream, _running, _RUNNING, path, checkpoint, _carried())
+
+    _replay(log, "event_id", start)
+    return out(versions.all_versions(spark, f"{path}/output"))
+
+
+# --- zone map ----------------------------------------------------------------
+
+
+def _zoned(spark, sf_dir) -> tuple[str, DataFrame]:
+    """The event log, appended in three parts to a log with a zone map."""
+    log, path = W.stored_log(spark, sf_dir), scratch_path(spark, "zoned-log")
+    n = W.event_count(spark, sf_dir)
+    for part in range(3):
+        third = (F.col("event_id") * 3 >= part * n) & (F.col("event_id") * 3 < (part + 1) * n)
+        Z.append_zoned(log.where(third), path, rows_per_file=max(n // 30, 1))
+    return path, log
+
+
+@query
+def zoned_read(spark, sf_dir):
+    path, log = _zoned(spark, sf_dir)
+    ranges = W.small(W.bounds(log))
+    starts = ST.resolve_start(ST.with_defaults(W.committed(ranges), ranges), ranges, "oldest")
+    return out(Z.read_zoned(spark, path, starts, log.schema).select(*TP, "offset", "event_id"))
+
+
+@query
+def zoned_ranges(spark, sf_dir):
+    path, _ = _zoned(spark, sf_dir)
+    return out(Z.zone_bounds(Z.zones_of(spark, path)))
+
+
 # --- commit log --------------------------------------------------------------
 
 
