@@ -21,7 +21,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     executor or a second reader never recomputes it."""
     path = scratch_path(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def removed(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that nothing reads any more."""
+    for df in tables:
+        jvm = df.sparkSession._jvm
+        place = jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def fold(doc_id: str = "doc_id") -> Column:
