@@ -108,25 +108,6 @@ def test_topk_cases(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
-def test_personal_terms(spark):
-    line = "contact zorblatt at zed@mail.example.org please"
-    rows = [(i, line if i < 3 else f"contact somebody at user{i}@mail.example.org please") for i in range(30)] + [(30, None), (31, "")]
-    got = {r.doc_id: r for r in personal.find(spark.createDataFrame([(i, f"{t} {i}" if t else t) for i, t in rows], "doc_id long, text string")).collect()}
-    assert got[0].n_email == 1 and got[0].n_terms == 1
-    assert got[0].sanitised == "contact z. at [email] please 0"
-    assert got[5].n_terms == 0 and got[30].n_email == 0 and got[30].sanitised is None and got[31].spans == ""
-
-
-def test_personal_patterns():
-    text = "4111 1111 1111 1111, 10.0.0.300 10.0.0.30 +49 (30) 1234567"
-    assert [k for k, _, _ in personal.entities(text)] == ["ip", "card", "phone"]
-    pattern = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-    draw = random.Random(1)
-    for _ in range(20000):
-        t = "".join(draw.choice("ab.@- %") for _ in range(14))
-        assert [m.span() for m in pattern.finditer(t)] == list(personal._mails(t))
-
-
 def test_packing_is_an_exact_round_trip(spark, sf_dir):
     from tokenizers import Tokenizer
 

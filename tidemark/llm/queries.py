@@ -39,7 +39,7 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal.find(table(spark, sf_dir, "documents")).drop("sanitised")
+    return personal.find(table(spark, sf_dir, "documents")).drop("doc", "terms")
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
