@@ -162,9 +162,54 @@ def test_models_on_held_out_rows(spark, sf_dir, odd):
     assert toxicity.score(odd, toxicity.train(odd, labels)).count() == len(ROWS)
 
 
+def test_mixing_keeps_columns_of_any_name(odd):
+    wide = odd.selectExpr("*", "7 AS copy", "8 AS shuffle_key", "9 AS _source", "1 AS u", "2 AS d", "3 AS reps")
+    plain = mixing.replicate(odd).count()
+    assert mixing.replicate(wide).count() == plain
+    own = mixing.replicate(wide, copy="c2", shuffle_key="k2")
+    assert own.columns == [*wide.columns, "c2", "k2"] and {r.copy for r in own.collect()} <= {7}
+    assert corpus_pipeline.mixed(None, wide, "").columns == wide.columns
+
+
 def test_pipeline(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns, name
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_language_stage_sets_the_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    told = {r.doc_id: (r.lang_pred, r.score) for r in language.label(docs, language.train(docs)).collect()}
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.by_language(spark, docs, sf_dir).collect()}
+    assert kept == {i: p for i, (p, s) in told.items() if p != language.UNKNOWN and s >= corpus_pipeline.LEAST_SCORE}
+
+
+def test_near_duplicate_stage_keeps_one_of_each(spark):
+    words = "one two three four five six seven eight nine ten eleven twelve"
+    rows = [
+        (5, words, "a"), (3, words, "b"), (None, words.upper(), "c"), (3, words, "b"), (7, "other words here", "d"), (7, words + " x y", "e"),
+        (None, "only without an id", "f"), (None, "only without an id", "g"), (8, "", "h"), (8, "", "i"), (9, None, "j"), (10, " . . ", "k"),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string").selectExpr("*", "1 AS d", "2 AS words", "3 AS mark")
+    out = corpus_pipeline.without_copies(spark, df, "")
+    assert out.columns == df.columns
+    got = sorted((r.doc_id or 0, r.text or "", r.row) for r in out.collect())
+    # Ten shingles against eight: 80 % exactly, so all long ones are one class.
+    assert [g[:2] for g in got if g[1].strip()] == [(0, "only without an id"), (3, words), (7, "other words here"), (10, " . . ")]
+    assert sorted(g[2] for g in got if not g[1].strip()) == ["h", "i", "j"]
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd, tmp_path):
+    clashing = odd.selectExpr("*", "1 AS copy", "2 AS shuffle_key", "3 AS row", "4 AS score", "5 AS lang_pred", "6 AS component_id", "7 AS spans")
+    for docs in (clashing, clashing.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            path = str(tmp_path / f"{name}-{docs is clashing}-{docs.columns == clashing.columns}")
+            out = stage(spark, docs, "")
+            if name == "packing":
+                assert out.count() >= docs.count()
+                continue
+            assert out.columns == docs.columns, name
+            out.write.mode("overwrite").parquet(path)
+            docs = spark.read.parquet(path)

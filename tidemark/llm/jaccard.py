@@ -217,9 +217,10 @@ def _candidates(posts: DataFrame, step: int, percent: int) -> DataFrame:
     return now.join(pivots, "gram").where(apart & near).select(F.col("id").alias("a"), "b").distinct()
 
 
-def link_classes(documents: DataFrame, n: int = N, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
-    rows = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("row"))
+def _linked(documents: DataFrame, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, row, n, mark) of every row, and (mark, component, component_id) of every mark:
+    a number of its class, and the smallest id in it."""
+    rows = documents.select(F.col("doc_id").cast("long"), "text", F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("row"))
     sets = stored(gram_sets(rows, n, screen=percent), "sets")
     classes = stored(
         sets.where("mark is not null").groupBy("mark", "n")
@@ -263,8 +264,31 @@ def link_classes(documents: DataFrame, n: int = N, percent: int = 80) -> DataFra
     # Classes by number to the smallest document of each.
     named = classes.join(labels, "id", "left").select("mark", "least", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    final = stored(named.join(least, "component").select("mark", "component_id"), "final")
+    final = stored(named.join(least, "component").select("mark", "component", "component_id"), "final")
     removed(classes, labels, posts, held)
-    return sets.select("doc_id", F.col("n").alias("n_shingles"), "mark").join(final, "mark", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("mark").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return sets.select("doc_id", "row", "n", "mark"), final
+
+
+def link_classes(documents: DataFrame, n: int = N, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    sets, final = _linked(documents, n, percent)
+    return sets.join(final, "mark", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("mark").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def one_of_each(documents: DataFrame, n: int = N, percent: int = 80) -> DataFrame:
+    """The rows of ``documents``, all columns, of which one of each class stays: the one with the
+    smallest id (null ids last; of unlike texts under one id, the one with the smaller hash).
+    Rows with an empty set are in no class and stay, all of them."""
+    sets, final = _linked(documents, n, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("later"), "doc_id", "row")
+    first = sets.where("mark is not null").join(final.select("mark", "component"), "mark").groupBy("component").agg(F.min(order).alias("f"))
+    kept = first.select("f.row").distinct()
+    # Columns of the documents may have any name: they travel as one.
+    rows = documents.select(
+        F.struct("*").alias("d"), F.xxhash64(F.col("doc_id").cast("long"), F.col("text")).alias("row"), F.col("text").rlike(r"[^\x20\x09-\x0D]").alias("words")
     )
+    chosen = rows.where("words").join(kept, "row", "left_semi").dropDuplicates(["row"])
+    return chosen.unionByName(rows.where("words is null or not words")).select("d.*")

@@ -217,6 +217,28 @@ def label(documents: DataFrame, model: Model) -> DataFrame:
     return documents.select("doc_id", "text", held_out().alias("held_out")).mapInArrow(run, SCHEMA)
 
 
+def with_label(documents: DataFrame, model: Model, name: str, score: str) -> DataFrame:
+    """All columns of the documents, and the predicted language and its score as ``name`` and
+    ``score`` (which must be new names). Prediction and row stay together: nothing is joined."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+    schema = documents.withColumns({name: F.lit(None).cast("string"), score: F.lit(None).cast("double")}).schema
+    place = documents.columns.index("text")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted_model = shared.value
+        for batch in batches:
+            for part in slices(batch, "text"):
+                bare = pa.RecordBatch.from_arrays(
+                    [pa.nulls(part.num_rows, pa.int64()), part.column(place), pa.nulls(part.num_rows, pa.bool_())], names=["doc_id", "text", "held_out"]
+                )
+                told = _labelled(bare, fitted_model)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, told.column("lang_pred"), told.column("score")], names=[*part.schema.names, name, score]
+                )
+
+    return documents.mapInArrow(run, schema)
+
+
 def _labelled(part: pa.RecordBatch, model: Model) -> pa.RecordBatch:
     column = part.column("text")
     texts = Texts(column, lower=True, inside=LETTERS)

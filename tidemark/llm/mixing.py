@@ -64,22 +64,26 @@ def rates(documents: DataFrame, weights: DataFrame | None = None, total: float |
     )
 
 
-def replicate(documents: DataFrame, weights: DataFrame | None = None, total: float | None = None, seed: str = "mix") -> DataFrame:
-    """Columns of the documents and ``copy`` (from 0), ``shuffle_key``; in the order of the key."""
+def replicate(
+    documents: DataFrame, weights: DataFrame | None = None, total: float | None = None, seed: str = "mix",
+    copy: str = "copy", shuffle_key: str = "shuffle_key",
+) -> DataFrame:
+    """Columns of the documents and ``copy`` (from 0), ``shuffle_key``; in the order of the key.
+    Given columns of these two names are replaced; choose other names to keep them."""
 
     @F.pandas_udf("array<double>")
     def distribution(rate: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for values in rate:
             yield values.map(_distribution)
 
-    tables = rates(documents, weights, total).select(
-        F.col("source").alias("_source"), distribution("rate").alias("_below")
-    )
-    # Sources may be many, so the join is left to the planner; skewed sources are split by it.
-    joined = documents.join(tables, F.col("source").eqNullSafe(F.col("_source")))
-    drawn = joined.withColumn("_u", _uniform(f"{seed}:count")).withColumn(
-        "_n", F.size(F.filter("_below", lambda p: p < F.col("_u")))
-    ).where("_n > 0")
-    copies = drawn.select(*documents.columns, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy"))
-    key = F.md5(F.concat(F.lit(f"{seed}:place:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("copy").cast("string")).cast("binary"))
-    return copies.withColumn("shuffle_key", key).orderBy("shuffle_key")
+    tables = rates(documents, weights, total).select(F.col("source").alias("target"), distribution("rate").alias("below"))
+    # Columns of the documents may have any name: they travel as one. Sources may be many, so the
+    # join is left to the planner; skewed sources are split by it.
+    joined = documents.select(F.struct("*").alias("d"), "source", "doc_id").join(tables, F.col("source").eqNullSafe(F.col("target")))
+    drawn = joined.withColumn("u", _uniform(f"{seed}:count")).withColumn(
+        "reps", F.size(F.filter("below", lambda p: p < F.col("u")))
+    ).where("reps > 0")
+    copies = drawn.select("d", "doc_id", F.explode(F.sequence(F.lit(0), F.col("reps") - 1)).alias("k"))
+    key = F.md5(F.concat(F.lit(f"{seed}:place:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit(":"), F.col("k").cast("string")).cast("binary"))
+    kept = [F.col("d").getField(c).alias(c) for c in documents.columns if c not in (copy, shuffle_key)]
+    return copies.withColumn("key", key).orderBy("key").select(*kept, F.col("k").alias(copy), F.col("key").alias(shuffle_key))
