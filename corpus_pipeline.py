@@ -19,22 +19,17 @@ LEAST_SCORE = 0.5
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that is told with enough certainty, with that language as
-    ``lang``; texts that are null or without a letter go. Rows with a null id go as well."""
-    told = language.label(docs, language.train(docs)).where(
-        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    )
-    # A prediction depends on the text alone, but rows of one id may differ in it.
-    kept = told.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).select("doc_id")
-    return docs.where(F.col("text").rlike(r"\p{L}")).join(kept, "doc_id", "left_semi").select(docs.columns)
+    ``lang``; texts that are null or without a letter go. Every row is judged by its own text,
+    whatever its id."""
+    told = language.with_label(docs, language.train(docs), "__told", "__certainty")
+    kept = told.where((F.col("__told") != language.UNKNOWN) & (F.col("__certainty") >= LEAST_SCORE))
+    return kept.select(*(F.col("__told").alias(c) if c == "lang" else F.col(f"`{c}`") for c in docs.columns))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id (of rows
-    repeated under that id, one)."""
-    classes = jaccard.link_classes(docs)
-    firsts = classes.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(docs.columns)
+    """One document of each group of near duplicates, repeated rows included: the one with the
+    smallest id, null ids last. Texts without a word are in no group and stay."""
+    return jaccard.one_of_each(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +39,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated towards the target weights of their sources, in random order."""
-    return mixing.replicate(docs).select(docs.columns)
+    return mixing.replicate(docs, copy="__copy", shuffle_key="__key").drop("__copy", "__key")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
