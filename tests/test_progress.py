@@ -73,53 +73,16 @@ def test_single_op_folds_equal_the_sequential_model(spark):
     df.unpersist()
 
 
-def folded(spark, state, *commands):
-    state, commands = state_df(spark, state), commands_df(spark, commands)
-    after = state_of(P.apply_commands(state, commands))
-    assert state_of(P.apply_commands(state, commands, slices=4)) == after
-    return after
-
-
-def acknowledged(spark, state, offset, error=None):
-    results = spark.createDataFrame([("topic", 0, offset, error)], S.COMMIT_RESULTS)
-    return state_of(P.mark_committed(state_df(spark, state), results))
-
-
-def test_marks_resets_and_acknowledgements_step_by_step(spark):
-    key = ("topic", 0)
-    state = {key: (2000, "first", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2001, "second"))
-    assert state == {key: (2002, "second", True)}
-    assert acknowledged(spark, state, 2001) == state
-    assert acknowledged(spark, state, 2002, "refused") == state
-    state = acknowledged(spark, state, 2002)
-    assert state == {key: (2002, "second", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2001, "third"))
-    assert state == {key: (2002, "second", False)}
-    state = folded(spark, state, ("topic", 0, "mark", 2002, "third"))
-    assert state == {key: (2003, "third", True)}
-    state = folded(spark, state, ("topic", 0, "reset", 2001, "second"))
-    assert state == {key: (2002, "second", True)}
-    state = acknowledged(spark, state, 2002)
-    assert state == {key: (2002, "second", False)}
-    assert folded(spark, state, ("topic", 0, "reset", 2001, "tie")) == {key: (2002, "tie", True)}
-    assert folded(spark, state, ("other", 0, "mark", 1, "x")) == state
-
-
-def test_stash_step_by_step(spark):
-    def stash(*commands):
-        return stash_of(P.stash_offsets(commands_df(spark, commands)))
-
-    first = ("topic", 0, "mark", 0, "first")
-    later = ("topic", 0, "mark", 200, "first")
-    assert stash(first) == {("topic", 0): (0, "first")}
-    assert stash(first, later, ("topic", 0, "mark", 199, "again")) == {("topic", 0): (200, "first")}
-    assert stash(first, later, ("topic", 0, "reset", 199, "again")) == {("topic", 0): (199, "again")}
-    both = stash(later, ("topic", 1, "mark", 300, ""), ("topic", 1, "reset", 200, "again"))
-    assert both == {("topic", 0): (200, "first"), ("topic", 1): (200, "again")}
-    assert stash(("topic", 0, "reset", 5, "x"), ("topic", 1, "mark", -1, "y")) == {}
-    rows = P.stash_map(spark.createDataFrame([("a", 3, 7, "")], S.STASH)).collect()
-    assert [(r.key, r.offset) for r in rows] == [("a-3", 7)]
+def test_acknowledgement_equals_its_rule_on_random_states(spark):
+    """Clean only what was committed without error at the position it still has."""
+    rng = random.Random(17)
+    state = {k: (rng.randint(0, 3), "m", rng.random() < 0.7) for k in many_keys(200)}
+    results = {k: (rng.randint(0, 3), rng.choice([None, "refused"])) for k in list(state)[::2] + [("gone", 1)]}
+    df = spark.createDataFrame([(*k, *v) for k, v in results.items()], S.COMMIT_RESULTS)
+    want = {
+        k: (o, m, d and not (k in results and results[k] == (o, None))) for k, (o, m, d) in state.items()
+    }
+    assert state_of(P.mark_committed(state_df(spark, state), df)) == want
 
 
 def test_stash_is_applied_once_per_entry(spark):
@@ -134,12 +97,15 @@ def test_stash_is_applied_once_per_entry(spark):
 
 
 def test_snapshot_of_subscribed_partitions(spark):
-    state = {("t", 0): (2000, "first", False), ("t", 1): (2000, "first", False)}
-    after = P.mark_offsets(state_df(spark, state), commands_df(spark, [("t", 1, "mark", 2000, "second")]))
-    want = {("t", 0): (2000, "first", False), ("t", 1): (2001, "second", True)}
-    assert state_of(P.snapshot(after)) == want
-    subs = spark.createDataFrame([("t", 1)], S.CATALOG)
-    assert state_of(P.snapshot(after, subs)) == {("t", 1): (2001, "second", True)}
+    rng = random.Random(23)
+    keys = many_keys(60)
+    commands = mixed_profiles(rng, keys)
+    state = {k: (rng.randint(-1, 12), "base", False) for k in keys}
+    after = partition_rule(state, commands)
+    folded = P.apply_commands(state_df(spark, state), commands_df(spark, commands))
+    assert state_of(P.snapshot(folded)) == after
+    subs = spark.createDataFrame(keys[::3], S.CATALOG)
+    assert state_of(P.snapshot(folded, subs)) == {k: after[k] for k in keys[::3]}
 
 
 def test_fold_with_a_large_summary_takes_the_shuffled_way(spark, monkeypatch):
