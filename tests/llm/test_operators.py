@@ -108,6 +108,39 @@ def test_topk_cases(spark):
     assert topk.search(df.limit(0)).count() == 0
 
 
+def test_topk_defined_cases(spark):
+    rows = [
+        (20, [2.0, 0.0], "a"), (20, [1.0, 0.0], "b"), (1, [3.0, 0.0], "c"), (1, [3.0, 0.0], "d"), (2, [3e38, 1.0], "e"),
+        (None, [9.0, 9.0], "f"), (40, [1.0], "g"), (3, [-1.0], "h"), (60, [], "i"), (4, [], "j"), (5, [float("inf"), 0.0], "k"),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, dims string").withColumn("block", F.lit("x"))
+    got = sorted(map(tuple, topk.search(df).collect()))
+    # The least vector of id 20 asks; lengths meet their own kind; both rows of id 1 are partners.
+    assert got == [(20, 1, 1, 64 * 192), (20, 2, 1, 64 * 192), (40, 1, 3, -4096), (60, 1, 4, 0)]
+
+
+def test_topk_over_many_blocks(spark, sf_dir, monkeypatch):
+    whole = sorted(map(tuple, queries.op6_topk_search(spark, sf_dir).collect()))
+    monkeypatch.setattr(topk, "INDEX_NUMBERS", 1)
+    monkeypatch.setattr(topk, "INDEX_ROWS", 40)
+    assert sorted(map(tuple, queries.op6_topk_search(spark, sf_dir).collect())) == whole
+
+
+def test_bit_sliced_sums():
+    rng = np.random.default_rng(5)
+    for span in (1, 3, 100, 1 << 27):
+        values = rng.integers(-span, span + 1, (200, 7))
+        values[:, 3] = 17  # an attribute without slices
+        values[50:60] = values[0]
+        ids = np.arange(200)
+        block = topk.Block(ids, *topk.slices_of(values))
+        for query in range(0, 200, 20):
+            scores = values @ values[query]
+            want = sorted(((-int(s), i) for i, s in enumerate(scores) if i != query))[:20]
+            got_ids, got = block.best(query, values[query], 20)
+            assert sorted(zip((-got).tolist(), got_ids.tolist())) == want
+
+
 def test_packing_is_an_exact_round_trip(spark, sf_dir):
     from tokenizers import Tokenizer
 

@@ -1,166 +1,234 @@
 """Exact top-k search with a bit-sliced index.
 
 Every attribute (dimension) of a block of vectors is kept as bit slices: bitmap b holds bit b of
-the attribute for all vectors of the block, in two's complement. The score of a query is a
-weighted sum of attributes; it is added up for all vectors at once by ripple-carry addition of
-shifted slices with bitmap arithmetic, one addition for each set bit of a weight. The top rows
-are then selected from the most significant slice downward; rows equal to the boundary are
-resolved by id, and the few rows found are read out with their exact scores.
-
-Query blocks meet index blocks by an equi-join on the number of the query block, so no task
-holds more than one block of each; the best rows of each pair of blocks are merged per query.
+the attribute, counted from its least value in the block, for all vectors of the block. The score
+of a query is a weighted sum of attributes; it is added up for all vectors at once with bitmap
+arithmetic: each signed digit of a weight puts the attribute's slices, or their complements, into
+columns by place value, and full adders reduce every column to one slice. The top rows are then
+selected from the most significant slice downward; rows equal to the boundary are resolved by id,
+and the few rows found are read out with their exact scores.
+
+Slices are made once for each block and written. Queries travel to the blocks, and a block is
+read once per task and held while its queries stream past, so a task's memory is one block. A
+block is copied only as long as there are fewer blocks than tasks. The best rows of each block
+are merged per query.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part, nor
-do rows without id or of another dimension than the most frequent (the larger one on a tie);
-ties go to the smaller id; repeated ids are rows of their own, but never partners of their own id;
-other columns are ignored.
+do rows without id, nor those with a component so large that a score could leave 64 bits (beyond
+the root of 2^62 / dimension after scaling). A query's partners are the vectors of its own
+dimension. Ties go to the smaller id. Of several rows with the same query id the one with the
+least vector asks; repeated rows are partners each, but never of their own id. Other columns are
+ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import stored
 
-#: Rows of an index block and of a query block, about.
-INDEX_ROWS = 16384
-QUERY_ROWS = 256
+#: Numbers (rows times dimension) of an index block, about, and its least number of rows.
+INDEX_NUMBERS, INDEX_ROWS = 1 << 22, 1024
+
+_KEY = ["dims", "block"]
+_SLICED = "dims int, block long, ids binary, low binary, bits binary, slices binary"
+_FOUND = "query_id long, vec_id long, score long"
+_WORD = (1 << 64) - 1
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     """(vec_id, q): whole numbers floor(scale * x) of the vectors that take part."""
     x = F.col("embedding")
-    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != float("inf")))
-    whole = F.transform(x, lambda v: F.floor(F.lit(scale) * v.cast("double")).cast("long"))
+    scaled = lambda v: F.lit(scale) * v.cast("double")
+    largest = F.sqrt(F.lit(2.0**62) / F.greatest(F.size(x), F.lit(1)))
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(scaled(v)) < largest))
+    whole = F.transform(x, lambda v: F.floor(scaled(v)).cast("long"))
     return vectors.where(F.col("vec_id").isNotNull() & x.isNotNull() & fine).select(F.col("vec_id").cast("long"), whole.alias("q"))
 
 
-def slices_of(values: np.ndarray) -> tuple[np.ndarray, int]:
-    """[dimension, bit, word] bitmaps of the columns of [row, dimension] whole numbers."""
+def slices_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(least value and number of bits of each attribute, [slice, word] bitmaps of all attributes
+    one after the other) of [row, dimension] whole numbers."""
     rows, dims = values.shape
-    bits = max(int(np.abs(values).max(initial=0)).bit_length() + 1, 2)
-    out = np.zeros((dims, bits, -(-rows // 64)), np.uint64)
-    for b in range(bits):
-        packed = np.packbits(((values >> b) & 1).astype(np.uint8).T, axis=1, bitorder="little")
-        padded = np.zeros((dims, out.shape[2] * 8), np.uint8)
-        padded[:, : packed.shape[1]] = packed
-        out[:, b] = padded.view(np.uint64)
-    return out, bits
-
-
-def _sum(index: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray:
-    """[bit, word] slices of the weighted sum, in two's complement of `width` bits."""
-    total = np.zeros((width, index.shape[2]), np.uint64)
-    bits = index.shape[1]
-    for d in np.flatnonzero(weights):
-        weight = int(weights[d])
-        # A negative weight adds the complement: -x = ~x + 1, the ones are added at the end.
-        slices = ~index[d] if weight < 0 else index[d]
-        magnitude, shift = abs(weight), 0
-        while magnitude:
-            if magnitude & 1:
-                carry = None
-                for place in range(shift, width):
-                    a, s = slices[min(place - shift, bits - 1)], total[place]
-                    half = s ^ a
-                    if carry is None:
-                        total[place], carry = half, s & a
-                    else:
-                        total[place], carry = half ^ carry, (s & a) | (carry & half)
-            magnitude >>= 1
-            shift += 1
-    constant = int(-weights[weights < 0].sum())
-    carry = np.zeros(index.shape[2], np.uint64)
-    for place in range(width):
-        a = np.uint64(0xFFFFFFFFFFFFFFFF) if constant >> place & 1 else np.uint64(0)
-        s = total[place].copy()
-        total[place] = s ^ a ^ carry
-        carry = (s & a) | (carry & (s ^ a))
-    return total
+    low = values.min(axis=0, initial=np.iinfo(np.int64).max) if rows else np.zeros(dims, np.int64)
+    above = (values - low).astype(np.uint64)
+    bits = np.array([int(a).bit_length() for a in above.max(axis=0, initial=0)], np.int64)
+    out = np.zeros((int(bits.sum()), -(-rows // 64) * 8), np.uint8)
+    at = 0
+    for d in range(dims):
+        for b in range(bits[d]):
+            packed = np.packbits(((above[:, d] >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), bitorder="little")
+            out[at, : len(packed)] = packed
+            at += 1
+    return low, bits, out.view(np.uint64)
+
+
+def digits(weight: int) -> Iterator[tuple[int, int]]:
+    """(place, 1 or -1) of the non-adjacent form of a whole number."""
+    place = 0
+    while weight:
+        if weight & 1:
+            digit = 2 - (weight & 3)
+            weight -= digit
+            yield place, digit
+        weight >>= 1
+        place += 1
+
+
+class Block:
+    """The bit slices of some vectors in order of their ids."""
+
+    def __init__(self, ids: np.ndarray, low: np.ndarray, bits: np.ndarray, slices: np.ndarray):
+        self.ids, self._low, self._bits = ids, low, bits
+        self._words = -(-len(ids) // 64)
+        self._slices, self._turned = slices, ~slices
+        self._first = np.concatenate(([0], np.cumsum(bits)))
+        self._all = np.zeros(self._words * 64, np.uint8)
+        self._all[: len(ids)] = 1
+
+    def sums(self, weights: np.ndarray) -> tuple[list[np.ndarray], int]:
+        """(slices of the weighted sum of each vector, least first, and a constant to add)."""
+        columns: list[list[np.ndarray]] = []
+        constant = 0
+        for d in np.flatnonzero(weights):
+            weight, width, first = int(weights[d]), int(self._bits[d]), self._first[d]
+            constant += weight * int(self._low[d])
+            for place, digit in digits(weight):
+                # -x is the complement of x less the largest number of that width.
+                source = self._slices if digit > 0 else self._turned
+                if digit < 0:
+                    constant -= ((1 << width) - 1) << place
+                while len(columns) < place + width:
+                    columns.append([])
+                for b in range(width):
+                    columns[place + b].append(source[first + b])
+        out = []
+        for place, column in enumerate(columns):
+            while len(column) > 1:
+                a, b = column.pop(), column.pop()
+                half = a ^ b
+                carry = a & b
+                if column:
+                    c = column.pop()
+                    carry |= half & c
+                    half ^= c
+                column.append(half)
+                if place + 1 == len(columns):
+                    columns.append([])
+                columns[place + 1].append(carry)
+            out.append(column[0] if column else np.zeros(self._words, np.uint64))
+        return out, constant
+
+    def best(self, query_id: int, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k highest sums among rows of other ids; ties at the boundary are
+        taken in order of ids."""
+        total, constant = self.sums(weights)
+        others = self._all.copy()
+        lo, hi = np.searchsorted(self.ids, query_id), np.searchsorted(self.ids, query_id, side="right")
+        others[lo:hi] = 0
+        rows = best_rows(total, np.packbits(others, bitorder="little").view(np.uint64), k)
+        word, bit = rows // 64, (rows % 64).astype(np.uint64)
+        scores = np.full(len(rows), constant & _WORD, np.uint64)
+        for place, slice_ in enumerate(total[:64]):
+            scores += ((slice_[word] >> bit) & np.uint64(1)) << np.uint64(place)  # modulo 2^64
+        return self.ids[rows], scores.view(np.int64)
 
 
 def _ones(bitmap: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), bitorder="little"))
 
 
-def best_rows(total: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, scores) of the k highest sums among the allowed rows: slices are walked from the
-    sign downward; ties at the boundary are taken by row number."""
-    width = len(total)
-    sure, open_ = np.zeros_like(allowed), allowed.copy()
-    count = 0
-    for place in range(width - 1, -1, -1):
-        high = open_ & (~total[place] if place == width - 1 else total[place])
+def best_rows(total: list[np.ndarray], allowed: np.ndarray, k: int) -> np.ndarray:
+    """Numbers of the allowed rows with the k highest sums: slices are walked from the most
+    significant downward; ties at the boundary are taken by row number."""
+    sure, open_, count = np.zeros_like(allowed), allowed, 0
+    for slice_ in reversed(total):
+        high = open_ & slice_
         n = int(np.bitwise_count(high).sum())
         if count + n > k:
             open_ = high
-        else:
+        elif n:
             sure |= high
             count += n
-            open_ &= ~high
+            open_ = open_ & ~high
             if count == k:
                 break
-    rows = np.concatenate((_ones(sure), _ones(open_)[: max(k - count, 0)]))
-    word, bit = rows // 64, (rows % 64).astype(np.uint64)
-    scores = np.zeros(len(rows), np.int64)
-    for place in range(width):
-        value = ((total[place][word] >> bit) & np.uint64(1)).astype(np.int64)
-        scores += -(value << place) if place == width - 1 else value << place
-    return rows, scores
-
-
-def _search(index_ids: np.ndarray, index: np.ndarray, largest: int, queries: pd.DataFrame, dims: int, k: int) -> pd.DataFrame:
-    out = []
-    full = np.zeros(index.shape[2] * 64, np.uint8)
-    full[: len(index_ids)] = 1
-    for query_id, raw in zip(queries["vec_id"], queries["q"]):
-        weights = np.asarray(raw, np.int64)
-        width = (int(np.abs(weights).sum()) * largest + 1).bit_length() + 2
-        total = _sum(index, weights, width)
-        others = full.copy()
-        lo, hi = np.searchsorted(index_ids, (query_id, query_id + 1))
-        others[lo:hi] = 0
-        rows, scores = best_rows(total, np.packbits(others, bitorder="little").view(np.uint64), k)
-        out.append(pd.DataFrame({"query_id": query_id, "vec_id": index_ids[rows], "score": scores}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+    return np.concatenate((_ones(sure), _ones(open_)[: k - count]))
+
+
+def _sliced(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for dims, block, rows in zip(batch["dims"].to_pylist(), batch["block"].to_pylist(), batch["rows"]):
+            ids = rows.values.field("vec_id").to_numpy(zero_copy_only=False)
+            values = rows.values.field("q").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dims)
+            order = np.argsort(ids, kind="stable")
+            parts = (ids[order], *slices_of(values[order]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([dims], pa.int32()), pa.array([block], pa.int64()), *(pa.array([p.tobytes()], pa.binary()) for p in parts)],
+                names=["dims", "block", "ids", "low", "bits", "slices"],
+            )
+
+
+def _numbers(column: Column | pa.Array, at: int, kind=np.int64) -> np.ndarray:
+    return np.frombuffer(column[at].as_buffer(), kind)
 
 
 def search(vectors: DataFrame, every: int = 20, k: int = 20, scale: float = 64.0) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k best partners of each row whose id is divisible
     by ``every``."""
-    rows = stored(quantised(vectors, scale), "quantised")
-    sizes = rows.groupBy(F.size("q").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
-    dims, n = (sizes.d, sizes.n) if sizes else (0, 0)
-    rows = rows.where(F.size("q") == dims)
-    blocks, groups = -(-n // INDEX_ROWS) or 1, -(-n // (every * QUERY_ROWS)) or 1
-
-    def packed(df: DataFrame, block: str) -> DataFrame:
-        # A block is a bounded number of rows: the hash spreads rows evenly over blocks.
-        return df.groupBy(block).agg(F.sort_array(F.collect_list(F.struct("vec_id", "q"))).alias("rows"))
-
-    number = lambda salt, count: F.pmod(F.xxhash64(F.lit(salt), "vec_id", "q"), F.lit(count)).cast("int")
-    index = packed(rows.withColumn("block", number("index", blocks)), "block")
-    asked = packed(rows.where(F.col("vec_id") % every == 0).withColumn("part", number("query", groups)), "part")
-    # Each index block goes to each query block, by an equi-join on the query block's number.
-    index = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    pairs = index.select("part", F.col("block"), F.col("rows").alias("index")).join(
-        asked.select("part", F.col("rows").alias("queries")), "part"
-    ).repartition(max(blocks * groups, 1), "part", "block")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    spark = vectors.sparkSession
+    # More than k equal rows add nothing to any answer, so a row repeated without end stays small.
+    rows = quantised(vectors, scale).groupBy("vec_id", "q").agg(F.least(F.count(F.lit(1)), F.lit(k)).cast("int").alias("n"))
+    rows = stored(rows.withColumn("dims", F.size("q")), "quantised")
+    # One row per length of vectors: no more than the longest vector has components.
+    room = F.greatest(F.floor(F.lit(INDEX_NUMBERS) / F.greatest(F.col("dims"), F.lit(1))), F.lit(INDEX_ROWS))
+    blocks = rows.groupBy("dims").agg(F.sum("n").alias("n")).select("dims", F.ceil(F.col("n") / room).cast("long").alias("blocks"))
+    total = blocks.agg(F.sum("blocks")).first()[0] or 1
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    copies = max(-(-tasks // total), 1)
+
+    placed = rows.withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n")))).join(F.broadcast(blocks), "dims")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("vec_id", "q", "_"), "blocks"))
+    index = stored(
+        placed.repartition(int(total), *_KEY).groupBy(*_KEY).agg(F.collect_list(F.struct("vec_id", "q")).alias("rows")).mapInArrow(_sliced, _SLICED),
+        "slices",
+    )
+    asked = rows.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("q").alias("q"))
+    asked = asked.withColumn("dims", F.size("q")).join(F.broadcast(blocks), "dims")
+    # Blocks and queries in one stream per (block, copy): the block first, then its queries.
+    nothing = lambda *names: [F.lit(None).cast("binary").alias(n) for n in names]
+    copy = lambda numbers: F.explode(numbers).alias("copy")
+    held = index.select(
+        *_KEY, copy(F.sequence(F.lit(0), F.lit(copies - 1))), F.lit(None).cast("long").alias("vec_id"),
+        F.lit(None).cast("array<long>").alias("q"), "ids", "low", "bits", "slices",
+    )
+    wanted = asked.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
+        *_KEY, F.pmod(F.xxhash64("vec_id"), F.lit(copies)).cast("int").alias("copy"), "vec_id", "q", *nothing("ids", "low", "bits", "slices")
+    )
+    lanes = max(int(total) * copies, 1)
+    stream = held.unionByName(wanted).repartition(lanes, *_KEY, "copy").sortWithinPartitions(*_KEY, "copy", F.asc_nulls_first("vec_id"))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = None
         for batch in batches:
-            for held, wanted in zip(batch["index"], batch["queries"]):
-                ids = np.array([r["vec_id"] for r in held], np.int64)
-                values = np.array([r["q"] for r in held], np.int64).reshape(len(ids), dims)
-                index_slices, _ = slices_of(values)
-                queries = pd.DataFrame({"vec_id": [r["vec_id"] for r in wanted], "q": [r["q"] for r in wanted]})
-                yield _search(ids, index_slices, int(np.abs(values).max(initial=0)), queries.drop_duplicates("vec_id"), dims, k)
-
-    found = pairs.select("index", "queries").mapInPandas(run, "query_id long, vec_id long, score long")
+            found = []
+            for at, query in enumerate(batch["vec_id"].to_pylist()):
+                if query is None:
+                    ids, low, bits = (_numbers(batch[c], at) for c in ("ids", "low", "bits"))
+                    slices = _numbers(batch["slices"], at, np.uint64).reshape(int(bits.sum()), -(-len(ids) // 64))
+                    block = Block(ids, low, bits, slices)
+                else:
+                    weights = batch["q"][at].values.to_numpy(zero_copy_only=False)
+                    ids, scores = block.best(query, weights, k)
+                    found.append((np.full(len(ids), query), ids, scores))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], names=["query_id", "vec_id", "score"])
+
+    best = stream.select("vec_id", "q", "ids", "low", "bits", "slices").mapInArrow(run, _FOUND)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
