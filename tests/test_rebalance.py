@@ -3,6 +3,7 @@ import random
 from tidemark import schemas as S
 from tidemark.functions import scalars as fn
 from tidemark.operators import rebalance as R
+from tidemark.operators import runs as RUNS
 
 # Two assignments of one member.
 PREVIOUS = {"a": [1, 2, 3], "b": [4, 5], "c": [1, 2]}
@@ -93,3 +94,34 @@ def test_an_empty_assignment_is_not_an_error(spark):
 def test_notification_names(spark):
     df = spark.range(5).select(fn.notification_name("id").alias("n"))
     assert [r.n for r in df.collect()] == ["unknown", "rebalance start", "rebalance OK", "rebalance error", "unknown"]
+
+
+def expanded(df):
+    return sorted(map(tuple, RUNS.partitions_of(df).collect()))
+
+
+def test_runs_against_sets(spark):
+    rng = random.Random(8)
+    sides = []
+    for _ in range(2):
+        owned = {(m, t, p) for m in "mn" for t in "ab" for p in rng.sample(range(60), 30)}
+        owned.add(("only", f"t{len(sides)}", 7))
+        rows = sorted(owned) + sorted(owned)[:20]  # some twice
+        sides.append((owned, spark.createDataFrame(rows, "member_id string, topic string, partition int")))
+    (old, before), (new, now) = sides
+    runs = RUNS.rebalance_runs(before, now).collect()
+    for change, want in (("claimed", new - old), ("released", old - new), ("current", new)):
+        got = [(r.member_id, r.topic, p) for r in runs if r.change == change for p in range(r.first, r.last + 1)]
+        assert sorted(got) == sorted(want)
+        ends = {(r.member_id, r.topic, r.last + 1) for r in runs if r.change == change}
+        assert not ends & {(r.member_id, r.topic, r.first) for r in runs if r.change == change}
+    assert expanded(RUNS.runs_of(now)) == sorted(new)
+    assert RUNS.rebalance_runs(before.limit(0), now.limit(0)).isEmpty()
+
+
+def test_wide_assignments_are_few_runs(spark):
+    wide = lambda lo, hi: spark.range(lo, hi).selectExpr("'m' AS member_id", "'t' AS topic", "CAST(id AS INT) AS partition")
+    got = sorted((r.change, r.first, r.last) for r in RUNS.rebalance_runs(wide(0, 60000), wide(20000, 80000)).collect())
+    assert got == [("claimed", 60000, 79999), ("current", 20000, 79999), ("released", 0, 19999)]
+    [diff] = R.rebalance_diff(wide(0, 60000), wide(20000, 80000)).collect()
+    assert diff.claimed == list(range(60000, 80000)) and diff.released == list(range(20000))

@@ -10,7 +10,7 @@ from tidemark.operators import start as ST
 from tidemark.options import GroupOptions
 from tidemark.schemas import TP
 from tidemark.streaming import tracker, versions, watch
-from tidemark.streaming.notifications import GENERATIONS, rebalance_stream
+from tidemark.streaming.notifications import GENERATION_PARTS, GENERATIONS, rebalance_stream
 
 
 def run(query):
@@ -137,6 +137,58 @@ def test_notifications_carry_the_base_over_batches(spark, tmp_path):
     ]
 
 
+def test_attempts_arrive_in_parts(spark, tmp_path):
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    attempts = {
+        (1, "m"): [("t", 0, None), ("t", 1, None)],
+        (2, "m"): [("t", 1, None), ("t", 2, None), ("t", 3, None)],
+        (1, "n"): [(None, None, None)],
+        (3, "m"): [(None, None, "subscribe")],
+    }
+    rows = [(*key, *row, len(own)) for key, own in attempts.items() for row in own]
+    by_batch = [[rows[0], rows[5]], [rows[0], rows[2]], [rows[1], rows[3]], [rows[6]], [rows[4], rows[2]]]
+    finished = []
+    for part in by_batch:
+        spark.createDataFrame(part, GENERATION_PARTS).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(GENERATION_PARTS).parquet(source)
+        run(rebalance_stream(stream, path, checkpoint))
+        events = spark.read.parquet(f"{path}/events").where("step = 1").collect()
+        finished.append(sorted((r.generation, r.member_id, r.type) for r in events))
+    one, two = (1, "n", "rebalance OK"), (1, "m", "rebalance OK")
+    last = [two, one, (2, "m", "rebalance OK"), (3, "m", "rebalance error")]
+    assert finished == [[one], [one], [two, one], [two, one], last]
+    parts = spark.read.parquet(f"{path}/partitions").collect()
+    got = sorted((r.generation, r.member_id, r.change, r.partition) for r in parts)
+    assert got == [
+        (1, "m", "claimed", 0), (1, "m", "claimed", 1), (1, "m", "current", 0), (1, "m", "current", 1),
+        (2, "m", "claimed", 2), (2, "m", "claimed", 3), (2, "m", "current", 1), (2, "m", "current", 2),
+        (2, "m", "current", 3), (2, "m", "released", 0),
+        (3, "m", "current", 1), (3, "m", "current", 2), (3, "m", "current", 3),
+    ]
+    assert spark.read.parquet(versions.version_path(f"{path}/held", 4)).isEmpty()
+
+
+def test_marks_start_from_positions(spark, tmp_path):
+    rng = random.Random(12)
+    state = {("t", p): (rng.randint(-1, 20), f"base{p}", False) for p in range(4)}
+    initial = spark.createDataFrame([(*k, *v[:2]) for k, v in state.items()], S.COMMITTED)
+    source, positions, out, checkpoint = (str(tmp_path / n) for n in ("in", "positions", "out", "cp"))
+    seq = 0
+    for _ in range(3):
+        marks = [("t", rng.randint(0, 5), "mark", rng.randint(0, 25), f"m{seq + i}") for i in range(12)]
+        rows = [(seq + i, t, p, op, o, m) for i, (t, p, op, o, m) in enumerate(marks)]
+        spark.createDataFrame(rows, S.COMMANDS).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(S.COMMANDS).parquet(source)
+        tracked = tracker.track_marks(stream, tracker.stored_positions(initial, positions))
+        write = lambda df, n: versions.write_version(df, out, n) and None
+        run(tracked.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+        state, seq = partition_rule(state, marks), seq + 12
+        # A restart takes the stored positions, whatever it is given.
+        initial = initial.withColumn("offset", F.col("offset") + 100)
+        got = versions.current_version(spark, out).collect()
+        assert {(r.topic, r.partition): (r.offset, r.metadata, r.dirty) for r in got} == state
+
+
 def test_repeats_within_a_time_limit(spark, tmp_path):
     source, sink, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     schema = "topic string, partition int, offset bigint, timestamp timestamp"

@@ -86,4 +86,7 @@ def partition_diff(mine, other) -> Column:
     """Elements of ``mine`` that are not in ``other``; order and duplicates are kept."""
     nothing = F.array().cast("array<int>")
     mine, other = F.coalesce(_c(mine), nothing), F.coalesce(_c(other), nothing)
-    return F.filter(mine, lambda x: ~F.array_contains(other, x))
+    # Set difference is linear, but drops duplicates; those are rare and looked up one by one.
+    has_duplicates = F.size(F.array_distinct(mine)) < F.size(mine)
+    kept = F.filter(mine, lambda x: ~F.array_contains(other, x))
+    return F.when(has_duplicates, kept).otherwise(F.array_except(mine, other))

@@ -225,7 +225,8 @@ def with_previous(
     group, order = list(group), list(order)
     keyed = with_slices(df, order, slices)
     cells = [*group, SLICE]
-    entry = F.struct(*values)
+    # The first row has no row before, so no field may be declared free of nulls.
+    entry = F.struct(*(F.when(F.col(order[0]).isNotNull(), F.col(v)).alias(v) for v in values))
     last = keyed.groupBy(*cells).agg(F.max_by(entry, F.struct(*order)).alias("__last"))
     bases = last.select(
         *cells, F.lag("__last").over(W.partitionBy(*group).orderBy(SLICE)).alias("__before")

@@ -17,6 +17,7 @@ from tidemark.operators.commit_log import CommitLog, CommitOutcome
 from tidemark.operators.progress import MARK, apply_commands, mark_committed, with_admitted
 from tidemark.operators.topics import not_subscribed
 from tidemark.options import GroupOptions
+from tidemark.plans.scratch import exists
 from tidemark.schemas import TP
 from tidemark.streaming.versions import (
     current_version,
@@ -32,21 +33,43 @@ _COMMAND = ["seq", *TP, "op", "offset", "metadata"]
 BatchHandler = Callable[[DataFrame, int], DataFrame | None]
 
 
-def track_marks(commands: DataFrame) -> DataFrame:
+def stored_positions(initial: DataFrame, path: str) -> DataFrame:
+    """Write positions (topic, partition, offset, metadata) to ``path`` once, and read them as a
+    stream. A restart reads what the first start has written."""
+    spark = initial.sparkSession
+    rows = initial.select(*TP, "offset", "metadata")
+    if not exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
+        rows.write.mode("overwrite").parquet(path)
+    return spark.readStream.schema(rows.schema).parquet(path)
+
+
+def track_marks(commands: DataFrame, initial: DataFrame | None = None) -> DataFrame:
     """Highest mark per topic-partition of a stream of commands, in update mode.
 
     Uses Spark's own aggregation state; a late mark below the position changes nothing.
+
+    ``initial`` is a stream of the positions before the first mark (:func:`stored_positions`).
+    Then topic-partitions are those of ``initial``, marks at or below a position there change
+    neither it nor its metadata, and ``dirty`` tells whether a mark has moved it. It does not
+    matter whether positions or marks arrive first.
     """
-    best = F.max_by(
-        F.struct((F.col("offset") + 1).alias("offset"), "metadata"),
-        F.struct("offset", -F.col("seq")),
+    marks = commands.where(F.col("op") == MARK).select(
+        *TP, (F.col("offset") + 1).alias("offset"), "metadata", "seq", F.lit(True).alias("dirty")
     )
-    return (
-        commands.where(F.col("op") == MARK)
-        .groupBy(*TP)
-        .agg(best.alias("s"))
-        .select(*TP, "s.offset", "s.metadata")
+    if initial is not None:
+        positions = initial.select(
+            *TP, "offset", "metadata", F.lit(0).cast("bigint").alias("seq"), F.lit(False).alias("dirty")
+        )
+        marks = marks.unionByName(positions)
+    # Of equal positions the one not moved by a mark wins, then the earliest mark.
+    best = F.max_by(
+        F.struct("offset", "metadata", "dirty"), F.struct("offset", ~F.col("dirty"), -F.col("seq"))
     )
+    known = F.bool_or(~F.col("dirty"))
+    out = marks.groupBy(*TP).agg(best.alias("s"), known.alias("known"))
+    if initial is None:
+        return out.select(*TP, "s.offset", "s.metadata")
+    return out.where("known").select(*TP, "s.offset", "s.metadata", "s.dirty")
 
 
 def track_offsets(

@@ -437,6 +437,20 @@ _BODIES = {
         FROM (SELECT generation + 1 AS generation, member_id, topic, part FROM assignments
               EXCEPT SELECT generation, member_id, topic, part FROM assignments)""",
     "rebalance_by_topic": _BY_TOPIC,
+    "rebalance_runs": """
+        SELECT member_id, topic, change, min(part) AS first_part, max(part) AS last_part
+        FROM (SELECT *, part - row_number() OVER (PARTITION BY member_id, topic, change ORDER BY part) AS stretch
+              FROM (SELECT concat(member_id, '@', CAST(generation AS VARCHAR)) AS member_id, topic, part, change
+                    FROM (SELECT *, 'claimed' AS change FROM (
+                            SELECT generation, member_id, topic, part FROM assignments
+                            EXCEPT SELECT generation + 1, member_id, topic, part FROM assignments)
+                          UNION ALL
+                          SELECT *, 'released' FROM (
+                            SELECT generation + 1 AS generation, member_id, topic, part FROM assignments
+                            EXCEPT SELECT generation, member_id, topic, part FROM assignments)
+                          UNION ALL
+                          SELECT DISTINCT generation, member_id, topic, part, 'current' FROM assignments)))
+        GROUP BY member_id, topic, change, stretch""",
     "rebalance_history": "SELECT generation, member_id, type, change, topic, part FROM history",
     "rebalance_notifications": """
         SELECT generation, member_id, CAST(0 AS INT) AS step, 'rebalance start' AS type
@@ -457,11 +471,13 @@ _BODIES = {
     "stream_mark_fold": """
         SELECT topic, part, off + 1 AS off, metadata FROM commands WHERE op = 'mark'
         QUALIFY row_number() OVER (PARTITION BY topic, part ORDER BY off DESC, seq) = 1""",
+    "stream_marked_state": "SELECT topic, part, off, metadata, dirty FROM marked",
     "stream_auto_commit": """
         SELECT 'g1' AS group_id, topic, part, max(off) + 1 AS off, '' AS metadata
         FROM topic_log GROUP BY topic, part""",
     "stream_topic_watch": "SELECT topic FROM selected WHERE origin = 'extra'",
     "stream_rebalance": "SELECT generation, member_id, type, change, topic, part FROM history",
+    "stream_rebalance_parts": "SELECT generation, member_id, type, change, topic, part FROM history",
     "stream_dedup": "SELECT DISTINCT topic, part, off FROM deliveries",
     "stream_resume": _RESUMED,
     "stream_resume_restarts": """

@@ -15,6 +15,7 @@ from tidemark.operators.commit_log import CommitLog
 from tidemark.operators import delivery as D
 from tidemark.operators import progress as P
 from tidemark.operators import rebalance as R
+from tidemark.operators import runs as RUNS
 from tidemark.operators import start as ST
 from tidemark.operators import topics as TO
 from tidemark.options import GroupOptions
@@ -544,6 +545,14 @@ def rebalance_by_topic(spark, sf_dir):
     )
 
 
+@query
+def rebalance_runs(spark, sf_dir):
+    """What members gain, lose and own, as runs of consecutive partitions."""
+    now = settle(_assignments(spark, sf_dir)).rows
+    runs = RUNS.rebalance_runs(_by_generation(_previous_day(now)), _by_generation(now))
+    return runs.withColumnsRenamed({"first": "first_part", "last": "last_part"})
+
+
 @query
 def rebalance_history(spark, sf_dir):
     rows = R.rebalance_rows(
@@ -629,6 +638,21 @@ def stream_mark_fold(spark, sf_dir):
     return out(versions.current_version(spark, path))
 
 
+@query
+def stream_marked_state(spark, sf_dir):
+    """Marks from a given state, in Spark's own aggregation state, over restarts."""
+    log, path = W.stored_log(spark, sf_dir), scratch_path(spark, "marked")
+    initial = tracker.stored_positions(_state(log), scratch_path(spark, "positions"))
+
+    def start(stream: DataFrame, checkpoint: str):
+        writer = tracker.track_marks(stream, initial).writeStream.outputMode("complete")
+        writer = writer.foreachBatch(lambda df, n: versions.write_version(df, path, n) and None)
+        return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    _replay(W.commands(log), "seq", start)
+    return out(versions.current_version(spark, path))
+
+
 @query
 def stream_auto_commit(spark, sf_dir):
     log = W.stored_log(spark, sf_dir).select(*TP, "offset", "event_id")
@@ -668,8 +692,7 @@ def stream_topic_watch(spark, sf_dir):
     return spark.read.schema("topic string").parquet(sink)
 
 
-@query
-def stream_rebalance(spark, sf_dir):
+def _generations(spark, sf_dir) -> DataFrame:
     nothing = F.lit(None)
     owned = _assignments(spark, sf_dir).withColumn("stage", nothing.cast("string"))
     columns = owned.columns
@@ -684,7 +707,12 @@ def stream_rebalance(spark, sf_dir):
             "stage": nothing.cast("string"),
         }
     )
-    rows = owned.unionByName(failed).unionByName(present).select(*columns)
+    return owned.unionByName(failed).unionByName(present).select(*columns)
+
+
+@query
+def stream_rebalance(spark, sf_dir):
+    rows = _generations(spark, sf_dir)
     path = scratch_path(spark, "notifications")
     _replay(
         rows, "generation", lambda s, cp: notifications.rebalance_stream(s, path, cp)
@@ -692,6 +720,18 @@ def stream_rebalance(spark, sf_dir):
     return out(spark.read.parquet(f"{path}/partitions").drop(versions.VERSION))
 
 
+@query
+def stream_rebalance_parts(spark, sf_dir):
+    """Attempts cut by the micro-batches: about half of the rows arrive a generation later."""
+    rows = _generations(spark, sf_dir).distinct()
+    sizes = rows.groupBy("generation", "member_id").agg(F.count(F.lit(1)).cast("int").alias("expected"))
+    late = F.pmod(F.xxhash64("topic", "partition", "stage"), F.lit(2)).cast("int")
+    rows = rows.join(sizes, ["generation", "member_id"]).withColumn("due", F.col("generation") + late)
+    path = scratch_path(spark, "attempts")
+    _replay(rows, "due", lambda s, cp: notifications.rebalance_stream(s, path, cp))
+    return out(spark.read.parquet(f"{path}/partitions").drop(versions.VERSION))
+
+
 @query
 def stream_dedup(spark, sf_dir):
     sink = scratch_path(spark, "deduplicated")
