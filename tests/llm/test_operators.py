@@ -66,9 +66,65 @@ def test_secret_layers_map_to_the_outer_text():
     base, spans, layers = secrets.scan_layers(text)
     assert base == [("assign", 0, 17)]
     pieces = [text[s:e] for _, s, e in spans]
-    assert pieces == ["password=hunter22", inner, packed, "a%73ecret%3Dabcdefgh", "\\u0074oken=1234567"]
+    # 20 bytes are 27 base64 characters, and those are 36.
+    assert pieces == ["password=hunter22", inner[:36], packed, "%73ecret%3Dabcdefgh", "\\u0074oken=1234567"]
     assert layers == 5
-    assert secrets.redact(text, spans) == " ".join([secrets.REDACTED] * 5)
+    redacted = secrets.redact(text, spans).replace(inner[36:], "")
+    assert redacted == " ".join([secrets.REDACTED] * 3 + ["a" + secrets.REDACTED, secrets.REDACTED])
+
+
+def test_secret_layers_of_any_bytes():
+    def pieces(text):
+        return [text[s:e] for _, s, e in secrets.scan_layers(text)[1]]
+
+    hidden = base64.b64encode(b"\0\xffpassword=hunter22\0 and so on").decode()
+    assert pieces(f"see {hidden}") == [hidden[2 * 8 // 6 : (19 * 8 - 1) // 6 + 1]]
+    assert pieces("x%FFpassword%3Dhunter22 y") == ["password%3Dhunter22"]
+    assert pieces("\u00fcber \\ud83d\\ude00\\u0070assword=hunter22") == ["\\u0070assword=hunter22"]
+    data = b"some words; " * 4 + b"token=abcdefgh1234; and more words after it, until the end of it"
+    lo, hi = 48 * 8 // 6, (66 * 8 - 1) // 6 + 1  # over the first line's end
+    for end in ("\n", "\r\n"):
+        lines = base64.encodebytes(data).decode().replace("\n", end)
+        [piece] = pieces(f"a{end}{end}{lines}{end}z")
+        assert end in piece and piece.replace(end, "") == base64.b64encode(data).decode()[lo:hi]
+    both = base64.b64encode(gzip.compress(b"nothing here") + gzip.compress(b"secret=abcdefgh")).decode()
+    assert pieces(both) == [both]
+    assert secrets.scan_layers(base64.b64encode(b"\x78\x9cno zlib, password=hunter22").decode())[1]
+
+
+def test_secret_positions_through_layers():
+    rng = np.random.default_rng(9)
+    percent = lambda t: "".join(f"%{b:02x}" for b in t.encode())
+    for _ in range(40):
+        before = "".join(rng.choice(list("ab \u00fc\u20ac\U0001f600"), rng.integers(0, 9)))
+        plain = f"{before} secret=abcdefgh z"
+        at = len(before) + 1
+        place = 3 * len(plain[:at].encode())
+        text = "\u00fc " + percent(plain)
+        assert secrets.scan_layers(text)[1] == [("assign", 2 + place, 2 + place + 3 * 15)]
+        twice = "\u00fc " + percent(percent(plain))
+        assert secrets.scan_layers(twice)[1] == [("assign", 2 + 3 * place, 2 + 3 * place + 9 * 15)]
+        wrapped = base64.b64encode(plain.encode() + b"......").decode()
+        [(_, lo, hi)] = set(secrets.scan_layers(wrapped)[1])
+        first = len(plain[:at].encode())
+        assert (lo, hi) == (first * 8 // 6, ((first + 15) * 8 - 1) // 6 + 1)
+
+
+def test_secret_cycles_and_large_layers(monkeypatch):
+    same = "%25" * 30
+    assert secrets.scan_layers(same)[2] <= 3
+    deep = "secret=abcdefgh1"
+    for _ in range(12):
+        deep = base64.b64encode(deep.encode()).decode()
+    base, spans, layers = secrets.scan_layers(deep)
+    assert (base, layers) == ([], 12) and len(spans) == 1
+    monkeypatch.setattr(secrets, "MAX_LAYER", 1000)
+    monkeypatch.setattr(secrets, "OVERLAP", 100)
+    bomb = base64.b64encode(gzip.compress(b"x " * 1497 + b"token=abcdefgh1 " + b"y " * 5000)).decode()
+    assert secrets.scan_layers(bomb)[1] == [("assign", 0, len(bomb))]
+    # Long runs take linear time.
+    for run in ("A" * 300_000, ("A" * 76 + "\n") * 4000, "%" * 300_000, "\\" * 300_000):
+        secrets.scan_layers(run)
 
 
 def test_secret_cases(odd):

@@ -3,8 +3,10 @@
 A text is scanned for three kinds of secrets. Then every percent-encoded, Unicode-escaped,
 base64 or compressed run in it is decoded to a layer of its own, which is scanned and unwrapped
 in the same way, until no layer yields a new one. A digest of every layer of a document is
-kept, so that a layer that leads back to itself is not walked again. Every finding of an inner
-layer is mapped to the characters of the whole text that its layer came from.
+kept, so that a layer that leads back to itself is not walked again. Bytes that are no UTF-8 are read as one
+character each, so a layer is scanned whatever it holds. Every finding of an inner layer is mapped
+through all layers to the characters of the whole text that it was decoded from; in a compressed
+layer these are the whole compressed run.
 
 Defined cases: null and empty texts have no findings; overlapping findings of different kinds
 stay; repeated rows are scanned each; other columns are ignored. Whole texts are read. A
@@ -20,8 +22,10 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 from urllib.parse import unquote_to_bytes
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -41,7 +45,15 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 _SOLID = re.compile(r"[!-~]+")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_NEXT_LINE = re.compile(r"\r?\n([A-Za-z0-9+/_-]+={0,2})")
+_BREAKS = re.compile(r"[\r\n]+")
+_PERCENT_TOKEN = re.compile(r"%[0-9A-Fa-f]{2}|.")
 _ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})")
+_ESCAPE_TOKEN = re.compile(rf"{_ESCAPE.pattern}|.")
+_PAIR = re.compile("[\ud800-\udbff][\udc00-\udfff]")
+_PAIR_TOKEN = re.compile(f"{_PAIR.pattern}|(?s:.)")
+_LONE = re.compile("[\ud800-\udfff]")
+_GZIP = b"\x1f\x8b"
 
 SCHEMA = (
     "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, "
@@ -57,76 +69,170 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0])))
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
+class Layer:
+    """A decoded text, with the characters of its parent that each of its characters came from.
+
+    ``cuts`` gives their (starts, ends); a layer without (an inflated one) came from its
+    ``place`` in the parent as a whole. They are worked out only for layers with findings.
+    """
+
+    def __init__(self, text: str, parent: Layer | None = None, place: tuple[int, int] = (0, 0), cuts=None):
+        self.text, self._parent, self._place, self._make = text, parent, place, cuts
+
+    @cached_property
+    def _cuts(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._make()
+
+    def locate(self, start: int, end: int) -> tuple[int, int]:
+        """The characters of the whole text that characters ``start`` to ``end`` came from."""
+        if self._parent is None:
+            return start, end
+        if self._make is None:
+            return self.outer
+        starts, ends = self._cuts
+        return self._parent.locate(int(starts[start]), int(ends[end - 1]))
+
+    @cached_property
+    def outer(self) -> tuple[int, int]:
+        """The characters of the whole text that the layer came from."""
+        return self._place if self._parent is None else self._parent.locate(*self._place)
 
 
 def _inflated(data: bytes) -> Iterator[str]:
-    """Texts of a gzip or zlib stream, in overlapping windows of bounded size."""
-    if data[:2] != b"\x1f\x8b" and not (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
+    """Texts of gzip or zlib streams, in overlapping windows of bounded size."""
+    if data[:2] != _GZIP and not (data[:1] == b"\x78" and len(data) > 2 and (data[0] * 256 + data[1]) % 31 == 0):
         return
     machine, held = zlib.decompressobj(47), b""
     try:
-        while data and not machine.eof:
+        while data:
             piece = machine.decompress(data, MAX_LAYER)
             data = machine.unconsumed_tail
-            if not piece:
+            if machine.eof and machine.unused_data[:2] == _GZIP:  # another member follows
+                data, machine = machine.unused_data, zlib.decompressobj(47)
+            elif not piece:
                 break
             held += piece
-            yield held.decode("utf-8", "replace")
+            yield _text(held)[0]
             held = held[-OVERLAP:]
     except zlib.error:
         return
 
 
-def _unwrapped(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, decoded text) of each encoded run."""
+def _text(data: bytes) -> tuple[str, bool]:
+    """(the bytes as UTF-8, or one character each where they are none; are they UTF-8?)."""
+    try:
+        return data.decode("utf-8"), True
+    except UnicodeDecodeError:
+        return data.decode("latin-1"), False
+
+
+def _from_bytes(data: bytes, parent: Layer, place: tuple[int, int], cuts) -> Iterator[Layer]:
+    """Layers of decoded bytes; ``cuts`` gives the parent's characters of each byte."""
+    inflated = False
+    for piece in _inflated(data):
+        inflated = True
+        yield Layer(piece, parent, place)
+    if inflated:
+        return
+    text, is_utf8 = _text(data)
+
+    def by_character():
+        starts, ends = cuts()
+        if not is_utf8:
+            return starts, ends
+        first = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        return starts[first], ends[np.append(first[1:], len(data)) - 1]
+
+    yield Layer(text, parent, place, by_character)
+
+
+def _cut_at(tokens: re.Pattern, run: str, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the tokens of a run that starts at ``start``."""
+    spans = np.array([m.span() for m in tokens.finditer(run)], np.int64).reshape(-1, 2) + start
+    return spans[:, 0], spans[:, 1]
+
+
+def _unescaped(run: str, parent: Layer, start: int) -> Layer:
+    units = _ESCAPE.sub(lambda e: chr(int(e.group(1) or e.group(2), 16)), run)
+    whole = _PAIR.sub(lambda p: chr(0x10000 + ((ord(p.group()[0]) & 0x3FF) << 10) + (ord(p.group()[1]) & 0x3FF)), units)
+
+    def cuts():
+        starts, ends = _cut_at(_ESCAPE_TOKEN, run, start)
+        spans = np.array([m.span() for m in _PAIR_TOKEN.finditer(units)], np.int64).reshape(-1, 2)
+        return starts[spans[:, 0]], ends[spans[:, 1] - 1]
+
+    return Layer(_LONE.sub("\ufffd", whole), parent, (start, start + len(run)), cuts)
+
+
+def _base64_runs(text: str) -> Iterator[tuple[int, int]]:
+    """(start, end) of base64 runs, and of runs that are broken over lines of equal length."""
+    done = 0
+    for m in _BASE64.finditer(text):
+        start, end = m.span()
+        yield start, end
+        width = end - start
+        if start < done or width % 4 or text[end - 1] == "=":
+            continue
+        more = _NEXT_LINE.match(text, end)
+        while more and len(more.group(1)) <= width:
+            done = more.end()
+            if len(more.group(1)) < width or text[done - 1] == "=":
+                break
+            more = _NEXT_LINE.match(text, done)
+        if done > end:
+            yield start, done
+
+
+def _decoded(layer: Layer, start: int, end: int) -> Iterator[Layer]:
+    raw = layer.text[start:end]
+    run = _BREAKS.sub("", raw).rstrip("=")
+    run = run[: len(run) - (len(run) % 4 == 1)].replace("-", "+").replace("_", "/")
+    try:
+        data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
+    except binascii.Error:
+        return
+
+    def cuts():
+        kept = np.flatnonzero(~np.isin(np.array(list(raw)), ["\r", "\n"])) + start
+        byte = np.arange(len(data)) * 8
+        return kept[byte // 6], kept[(byte + 7) // 6] + 1
+
+    yield from _from_bytes(data, layer, (start, end), cuts)
+
+
+def _unwrapped(layer: Layer) -> Iterator[Layer]:
+    """The layers that the encoded runs of a layer hold."""
+    text = layer.text
     if "%" in text or "\\" in text:
         for m in _SOLID.finditer(text):
-            run = m.group()
-            inner = _readable(unquote_to_bytes(run)) if "%" in run else None
-            if inner and inner != run:
-                yield m.start(), m.end(), inner
+            run, start = m.group(), m.start()
+            if "%" in run:
+                data = unquote_to_bytes(run)
+                if len(data) < len(run):
+                    yield from _from_bytes(data, layer, m.span(), lambda r=run, s=start: _cut_at(_PERCENT_TOKEN, r, s))
             if "\\" in run and _ESCAPE.search(run):
-                inner = _ESCAPE.sub(lambda e: chr(int(e.group(1) or e.group(2), 16)), run)
-                yield m.start(), m.end(), inner.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
-    for m in _BASE64.finditer(text):
-        run = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        inner = _readable(data)
-        if inner:
-            yield m.start(), m.end(), inner
-        else:
-            for piece in _inflated(data):
-                yield m.start(), m.end(), piece
+                yield _unescaped(run, layer, start)
+    for start, end in _base64_runs(text):
+        yield from _decoded(layer, start, end)
 
 
 def scan_layers(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
     """(open findings, all findings, number of inner layers); inner findings carry the
-    characters of the outermost text their layer was decoded from."""
+    characters of the whole text that they were decoded from."""
     base = scan(text)
-    found, seen, layers = set(base), {_mark(text)}, 0
-    work = [(text, None)]
+    top = Layer(text)
+    found, own, seen, layers = set(base), _mark(text), set(), 0
+    work = [top]
     while work:
-        layer, outer = work.pop()
-        for start, end, inner in _unwrapped(layer):
-            mark = _mark(inner)
-            place = outer or (start, end)
-            if inner == layer or (mark, place) in seen or mark == _mark(text):
+        layer = work.pop()
+        for inner in _unwrapped(layer):
+            mark = _mark(inner.text)
+            if mark == own or (mark, inner.outer) in seen:
                 continue
-            seen.add((mark, place))
+            seen.add((mark, inner.outer))
             layers += 1
-            found.update((kind, *place) for kind, _, _ in scan(inner))
-            work.append((inner, place))
+            found.update((kind, *inner.locate(start, end)) for kind, start, end in scan(inner.text))
+            work.append(inner)
     return base, sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2])), layers
 
 
