@@ -11,6 +11,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ KEPT_WORDS, KEPT_LENGTH = 1 << 19, 64
 #: Texts are handled in runs of about so many bytes.
 _RUN = 1 << 20
 #: U+001C to U+001F separate words for str.split, but not for the tokenizer.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
 _PLAIN_WORDS = re.compile("[^ \t\r\n]+")
 _ABOVE = re.compile("[\u0300-\U0010ffff]")
 _PLAIN = re.compile("[a-zà-öø-ÿ]+")
@@ -101,12 +102,21 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The encoder of a vocabulary, with the words it knows: a worker keeps it between tasks."""
+    return Encoder(path)
+
+
 def _words(text: str) -> list[str]:
     """The words between white space. Capital letters are made small where that cannot change
     what the vocabulary's own normalisation gives: no combining marks, no special tokens."""
-    if not _ABOVE.search(text) and "<|" not in text:
-        text = text.encode().translate(_LOWER).decode()
-    return _PLAIN_WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
+    if "<|" not in text:
+        if text.isascii():
+            text = text.lower()
+        elif not _ABOVE.search(text):
+            text = text.encode().translate(_LOWER).decode()
+    return _PLAIN_WORDS.findall(text) if any(c in text for c in _SEPARATORS) else text.split()
 
 
 def pieces(documents: DataFrame, tokenizer: str, limit: int) -> DataFrame:
@@ -114,11 +124,11 @@ def pieces(documents: DataFrame, tokenizer: str, limit: int) -> DataFrame:
     token); ``tokenizer`` is the file's path on executors. A null text has the end token alone."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), END.to_bytes(4, "little")
+        encode, end = encoder(tokenizer).ids, END.to_bytes(4, "little")
         for batch in batches:
             for part in slices(batch, "text", _RUN):
                 rows = []
-                for doc, ids in zip(part.column("doc_id").to_pylist(), encoder.ids(part.column("text").to_pylist())):
+                for doc, ids in zip(part.column("doc_id").to_pylist(), encode(part.column("text").to_pylist())):
                     ids += end
                     total = len(ids) // 4
                     for number, start in enumerate(range(0, total, limit)):
