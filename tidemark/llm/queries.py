@@ -21,7 +21,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chats.linked(*chats.calls_of(table(spark, sf_dir, "conversations")), chats.RESPOND)
+    return chats.linked(*chats.calls_of(table(spark, sf_dir, "conversations")), chats.TOOLS)
 
 
 def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:

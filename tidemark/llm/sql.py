@@ -22,6 +22,24 @@ def _utf8(text: str) -> str:
 
 
 CHECKS: dict[str, str] = {
+    "op3_chat_formatting": """
+with recursive a as (
+  select conv_id, 'call-' || turn call_id, turn, text, case role when 'user' then 'respond' else 'configure' end tool,
+         case when role = 'user' then 'call-' || (case when turn = 1 then 0 else turn - 2 end) end needs,
+         (case when role = 'user' then json_object('chars', length(text), 'prompt', text) else json_object('rules', text) end)::varchar arguments
+  from conversations where role in ('user', 'system') and conv_id is not null and turn is not null),
+c as (select * from a qualify row_number() over (partition by conv_id, call_id order by tool, arguments) = 1),
+r as (select conv_id, 'call-' || (turn - 1) call_id, text result, true answered from conversations where role = 'assistant' and turn is not null
+      qualify row_number() over (partition by conv_id, turn order by text nulls first) = 1),
+d as (select c.conv_id, c.call_id, 0::bigint depth from c left join c up on up.conv_id = c.conv_id and up.call_id = c.needs where up.call_id is null
+      union all select c.conv_id, c.call_id, d.depth + 1 from c join d on d.conv_id = c.conv_id and d.call_id = c.needs),
+v as (select c.*, depth, result, answered,
+             coalesce(case tool when 'respond' then length(text) between 1 and 256 else length(text) <= 300 end, false) valid
+      from c join d using (conv_id, call_id) left join r using (conv_id, call_id))
+select conv_id, call_id, turn, depth, valid, case when not valid then 'invalid' when answered is null then 'open' else 'linked' end status,
+       json_object('arguments', arguments, 'call_id', call_id, 'result', result, 'tool', tool)::varchar json
+from v
+""",
     "op11_prefix_trie": f"""
 with t as (select conv_id, turn, coalesce(text, '') x, coalesce(role, '') r from documents_of_turns),
 s as (select conv_id, list(s order by turn nulls first, s) turns
