@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -137,3 +138,33 @@ def test_fold_never_shuffles_all_commands(spark, tmp_path):
             depth = next((j for j, x in enumerate(below) if "FileScan" in x), None)
             if depth is not None:
                 assert any("partial_" in x or "BroadcastHashJoin" in x for x in below[:depth]), plan
+
+
+@pytest.mark.parametrize("rule", sorted(P.RULES))
+def test_every_short_sequence(spark, rule):
+    """All sequences of up to four commands on three offsets, from every position, in one to
+    three slices: each is a topic-partition of its own."""
+    kinds = list(itertools.product(["mark", "reset"], range(3)))
+    rng, commands, starts = random.Random(3), [], {}
+    for length in range(1, 5):
+        for steps in itertools.product(kinds, repeat=length):
+            key = (f"t{length}", len(starts))
+            starts[key] = (rng.randint(-1, 4), "base", False)
+            commands.extend((i, *key, op, offset, f"m{i}") for i, (op, offset) in enumerate(steps))
+    df = spark.createDataFrame(commands, S.COMMANDS).cache()
+    in_order = [(t, p, op, o, m) for _, t, p, op, o, m in sorted(commands)]
+    for slices in (1, 2, 3):
+        if rule == "partition":
+            assert state_of(P.apply_commands(state_df(spark, starts), df, rule, slices)) == partition_rule(starts, in_order)
+        else:
+            stash = {k: v[:2] for k, v in starts.items() if v[0] >= 0}
+            stash_df = spark.createDataFrame([(*k, *v) for k, v in stash.items()], S.STASH)
+            assert stash_of(P.stash_offsets(df, stash_df, slices)) == stash_rule(stash, in_order)
+    df.unpersist()
+
+
+def test_a_repeated_command_wins_once(spark):
+    state = {("t", 0): (1, "old", False)}
+    df = commands_df(spark, [("t", 0, "mark", 5, "m"), ("t", 0, "mark", 9, "n")])
+    assert state_of(P.apply_commands(state_df(spark, state), df.union(df))) == {("t", 0): (10, "n", True)}
+    assert state_of(P.apply_commands(state_df(spark, state), df.limit(0))) == state
