@@ -90,3 +90,29 @@ def test_group_read_by_mode(spark, tmp_path):
     assert sum(r.n for r in rows) == got.count()
     with pytest.raises(ValueError):
         read_group(spark, path, ["topic-a"], commits, options)
+
+
+def test_large_differences_are_never_broadcast(spark, tmp_path, monkeypatch):
+    """Owned partitions in order take few bytes in files and many in memory."""
+    path = str(tmp_path / "owned")
+    rows = spark.range(0, 300_000, 1, 1).selectExpr(
+        "cast(1 + id div 150000 AS int) AS generation", "concat('m', id div 30000 % 5) AS member_id", "'t' AS topic",
+        "cast(id % 150000 AS int) AS partition",
+    )
+    rows.write.parquet(path)
+    owned = spark.read.parquet(path)
+    before = owned.where("generation = 1 AND partition >= 10")
+    for got, n in ((R.claimed_rows(before, owned), 20), (R.released_rows(owned, before), 20)):
+        assert got.count() == n
+        assert "BroadcastHashJoin" not in plan_of(got) and "SortMergeJoin" in plan_of(got)
+    monkeypatch.setattr(R, "settle", lambda df: bounded.settle(df, max_rows=1000))
+    history = R.rebalance_rows(owned)
+    anti = [line for line in plan_of(history).splitlines() if "LeftAnti" in line]
+    assert len(anti) == 2 and all("SortMergeJoin" in line for line in anti)
+    assert {(r.change, r["count"]) for r in history.groupBy("change").count().collect()} == {("current", 300_000), ("claimed", 150_000)}
+
+
+def test_a_side_beyond_the_limit_is_joined_by_shuffle(spark):
+    rows = spark.range(50)
+    for most, kind in ((100, "BroadcastHashJoin"), (10, "SortMergeJoin")):
+        assert kind in plan_of(spark.range(10).join(bounded.settle(rows, max_rows=most).df, "id"))
