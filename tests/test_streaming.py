@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 from tests.model import partition_rule
 from tidemark import schemas as S
 from tidemark.operators.commit_log import CommitLog
+from tidemark.operators import rebalance
 from tidemark.operators import start as ST
 from tidemark.options import GroupOptions
 from tidemark.schemas import TP
-from tidemark.streaming import tracker, versions, watch
+from tidemark.streaming import notifications, tracker, versions, watch
 from tidemark.streaming.notifications import GENERATION_PARTS, GENERATIONS, rebalance_stream
+from tidemark.workloads import queries
 
 
 def run(query):
@@ -198,3 +200,35 @@ def test_repeats_within_a_time_limit(spark, tmp_path):
     run(stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
     got = spark.read.schema(schema).parquet(sink)
     assert sorted(r.offset for r in got.select(*TP, F.col("offset")).collect()) == list(range(20))
+
+
+def test_attempts_are_found_once_in_a_batch(spark, tmp_path, monkeypatch):
+    """Those of earlier batches are the base of new ones, and are not joined again."""
+    calls, joined = [], []
+    found, joins = notifications.rebalance_attempts, notifications.attempt_rows
+    for module in (notifications, rebalance):
+        monkeypatch.setattr(module, "rebalance_attempts", lambda *a: calls.append(1) or found(*a))
+    monkeypatch.setattr(notifications, "attempt_rows", lambda o, a: joined.append(a.count()) or joins(o, a))
+    source, path, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    for generation in (1, 2):
+        rows = [(generation, m, "t", p, None, 2) for m in "ab" for p in (generation, generation + 1)]
+        spark.createDataFrame(rows, GENERATION_PARTS).write.mode("append").parquet(source)
+        run(rebalance_stream(spark.readStream.schema(GENERATION_PARTS).parquet(source), path, checkpoint))
+    got = versions.all_versions(spark, f"{path}/partitions").where("member_id = 'a'").collect()
+    assert sorted((r.generation, r.change, r.partition) for r in got) == [
+        (1, "claimed", 1), (1, "claimed", 2), (1, "current", 1), (1, "current", 2),
+        (2, "claimed", 3), (2, "current", 2), (2, "current", 3), (2, "released", 1),
+    ]
+    assert len(calls) == 2 and joined == [2, 2]
+
+
+def test_a_replayed_table_is_computed_once(spark, tmp_path):
+    read, sink = spark.sparkContext.accumulator(0), str(tmp_path / "out")
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    queries._replay(spark.range(300).mapInPandas(counted, "id long"), "id", queries._to_table(sink))
+    assert spark.read.parquet(sink).distinct().count() == 300 and read.value == 300
