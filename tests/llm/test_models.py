@@ -5,7 +5,7 @@ import itertools
 import numpy as np
 import pytest
 
-from tidemark.llm import language, queries, toxicity
+from tidemark.llm import language, logistic, queries, toxicity
 from tidemark.llm.common import table
 from tests.conftest import TESTDATA
 
@@ -86,3 +86,44 @@ def test_switched_text_shows_its_switches(spark):
     assert (got[1].lang_pred, got[2].lang_pred) == (a, b)
     assert got[3].n_switches >= 2 > got[1].n_switches
     assert {got[i].lang_pred for i in (4, 5)} == {language.UNKNOWN}
+
+
+def _ranked(told):
+    """Share of (toxic, clean) pairs in which the toxic row has the higher score; ties count half."""
+    toxic, clean = (np.array([s for s, label in told if label == v]) for v in (1, 0))
+    return np.mean((toxic[:, None] > clean) + 0.5 * (toxic[:, None] == clean))
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_few_labels_rank_held_out_rows(spark, seed):
+    """Ten insults, about eight toxic rows to learn from, each with some of them."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list("abcdefghiklmnoprstu"), 6)) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(300):
+        toxic = int(i % 9 == 0)
+        text = list(rng.choice(words, 60)) + list(rng.choice(words[:10], 4 if toxic else 0))
+        if not toxic:
+            text = [w for w in text if w not in words[:10]]
+        rng.shuffle(text)
+        rows.append((i, " ".join(text)))
+        labels.append((i, toxic))
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    known = dict(labels)
+    learned = spark.createDataFrame(labels[:90], "doc_id long, toxic int")
+    told = toxicity.score(documents, toxicity.train(documents, learned)).where("held_out or doc_id >= 90").collect()
+    assert _ranked([(r.score, known[r.doc_id]) for r in told]) >= 0.8
+
+
+def test_more_matches_never_lower_a_score(spark):
+    """Weights are drawn upwards and not below 0, whatever the labels say."""
+    x, label = np.array([[0.0, 1.0], [2.0, 0.0], [3.0, 1.0], [0.0, 0.0]]), np.array([1, 0, 0, 1])
+    assert logistic.fit_dense(x, label)[0] < 0
+    assert (logistic.fit_dense(x, label, rising=True)[:-1] >= 0).all()
+
+
+def test_toxicity_of_small_tables(spark):
+    for sf, least in (("sf0.001", 0.9), ("sf0.01", 0.75)):
+        known = {r.doc_id: r.toxic for r in table(spark, f"{TESTDATA}/{sf}", "labels").where("toxic is not null").collect()}
+        told = queries.op10_toxicity(spark, f"{TESTDATA}/{sf}").where("held_out").collect()
+        assert _ranked([(r.score, known[r.doc_id]) for r in told if r.doc_id in known]) >= least

@@ -52,14 +52,27 @@ def calibrate(score: np.ndarray, label: np.ndarray, steps: int = 60) -> tuple[fl
     return float(max(w[0], 1e-6) / scale), float(w[1])
 
 
-def fit_dense(x: np.ndarray, label: np.ndarray, ridge: float = 1e-2, steps: int = 60) -> np.ndarray:
-    """Weights (the last is the bias) by damped Newton steps on few dense features."""
+def fit_dense(
+    x: np.ndarray, label: np.ndarray, ridge: float = 1e-2, steps: int = 60, toward: float = 0.0, rising: bool = False
+) -> np.ndarray:
+    """Weights (the last is the bias) by damped Newton steps on few dense features, drawn to
+    ``toward`` by the penalty. With ``rising`` no weight but the bias is below 0: features whose
+    weight would be are left out, and the others fitted again."""
     x = np.column_stack((x, np.ones(len(x))))
-    w = np.zeros(x.shape[1])
-    penalty = np.append(np.full(x.shape[1] - 1, ridge), 1e-6)
-    for _ in range(steps):
-        p = sigmoid(x @ w)
-        grad = x.T @ (p - label) + penalty * w
-        hessian = (x.T * (p * (1 - p))) @ x + np.diag(penalty + 1e-6)
-        w = w - np.clip(np.linalg.solve(hessian, grad), -2, 2)
-    return w
+    kept = np.ones(x.shape[1], bool)
+    while True:
+        part = x[:, kept]
+        w = np.zeros(part.shape[1])
+        penalty = np.append(np.full(part.shape[1] - 1, ridge), 1e-6)
+        for _ in range(steps):
+            p = sigmoid(part @ w)
+            grad = part.T @ (p - label) + penalty * (w - np.append(np.full(len(w) - 1, toward), 0.0))
+            hessian = (part.T * (p * (1 - p))) @ part + np.diag(penalty + 1e-6)
+            w = w - np.clip(np.linalg.solve(hessian, grad), -2, 2)
+        below = np.append(w[:-1] < 0, False)
+        if not rising or not below.any():
+            break
+        kept[np.flatnonzero(kept)[below]] = False
+    whole = np.zeros(x.shape[1])
+    whole[kept] = w
+    return whole
