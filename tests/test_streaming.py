@@ -232,3 +232,44 @@ def test_a_replayed_table_is_computed_once(spark, tmp_path):
 
     queries._replay(spark.range(300).mapInPandas(counted, "id long"), "id", queries._to_table(sink))
     assert spark.read.parquet(sink).distinct().count() == 300 and read.value == 300
+
+
+def test_a_replay_is_cut_between_few_values(spark, tmp_path):
+    """However many rows share a value; rows without a value are not lost."""
+    rows = spark.range(20_000).selectExpr("id", "nullif(id % 6, 5) AS day")
+    seen = []
+
+    def start(stream, checkpoint):
+        keep = lambda df, n: seen.append((n, [tuple(r) for r in df.groupBy("day").count().collect()]))
+        return stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+    queries._replay(rows, "day", start)
+    assert [n for n, _ in seen] == [0, 1, 2]
+    assert [{day for day, _ in days} for _, days in seen] == [{None, 0}, {1}, {2, 3, 4}]
+    assert sum(n for _, days in seen for _, n in days) == 20_000
+
+
+def test_replayed_attempts_are_held_over_the_cuts(spark, tmp_path, monkeypatch):
+    events = spark.range(20_000).selectExpr(
+        "id AS event_id",
+        "timestamp'2024-01-01' + make_interval(0, 0, 0, int(id % 5)) AS ts",
+        "id * 7 % 900 AS user_id",
+        "element_at(array('click', 'view', 'error'), int(id % 3) + 1) AS event_type",
+        "0D AS value",
+        "'' AS props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    held, write = [], notifications.write_version
+
+    def counted(df, path, batch_id):
+        stored = write(df, path, batch_id)
+        if path.endswith("/held"):
+            held.append((batch_id, stored.count()))
+        return stored
+
+    monkeypatch.setattr(notifications, "write_version", counted)
+    got = queries.stream_rebalance_parts(spark, str(tmp_path))
+    assert [n for n, _ in held] == [0, 1, 2]
+    assert [rows > 0 for _, rows in held] == [True, True, False]
+    want = queries.rebalance_history(spark, str(tmp_path))
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
