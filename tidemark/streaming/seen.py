@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.plans.bounded import settle
+from tidemark.plans.bounded import by_shuffle, settle
 from tidemark.plans.ordering import running, with_reach
 from tidemark.schemas import TP
 from tidemark.streaming.tracker import start_batches
@@ -34,10 +34,11 @@ def unseen(messages: DataFrame, seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = seen.select(*TP, "low", "high", F.lit(0).alias("kind")).unionByName(
         offsets.select(*TP, F.col("offset").alias("low"), (F.col("offset") + 1).alias("high"), F.lit(1).alias("kind"))
     )
-    reached = settle(with_reach(rows, TP, ["low", "kind"], "high", "reach")).rows
+    # Stored however few they are: batch after batch, they would take the driver's memory in every plan.
+    reached = settle(with_reach(rows, TP, ["low", "kind"], "high", "reach"), max_rows=0).rows
     beyond = F.col("reach").isNull() | (F.col("low") >= F.col("reach"))
     new = reached.where((F.col("kind") == 1) & beyond).select(*TP, F.col("low").alias("offset"))
-    fresh = messages.join(settle(new).df, [*TP, "offset"], "left_semi").dropDuplicates([*TP, "offset"])
+    fresh = messages.join(by_shuffle(new), [*TP, "offset"], "left_semi").dropDuplicates([*TP, "offset"])
     # An interval starts where nothing before it reaches or touches it.
     begins = (F.col("reach").isNull() | (F.col("low") > F.col("reach"))).cast("int")
     islands = running(reached, TP, ["low", "kind"], {"island": begins})
